@@ -1,16 +1,17 @@
 """The resolution ladder: rules first, then judges, then the better-looking value.
 
-Every tier takes only the rows that earlier tiers left open (a filter, not a
-condition: a judge guarded by a condition would still run on every row), and
-the tiers' results are unioned.  Judges are functions from a DataFrame with
-``field_name, v1, v2, context`` to the same rows with ``judgment`` (a struct
-of value, confidence and status); the defaults need no model.
+Judges are functions from a DataFrame with ``field_name, v1, v2, context`` to
+the same rows with ``judgment`` (a struct of value, confidence and status).
+The defaults need no model and are expressions, so all tiers are columns of one
+pass.  A judge that runs a model must see open rows only, and a condition would
+not keep a UDF from running on every row: with such a judge the rows are
+persisted, those that earlier tiers left open are filtered out for it, and the
+parts are unioned.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,11 +89,25 @@ def vlm_unavailable(rows: DataFrame) -> DataFrame:
     return rows.withColumn("judgment", responses.judgment(F.lit(None).cast("string"), F.lit(0.0), F.lit("UNCERTAIN")))
 
 
-OUT = ("doc_id", "field_name", "value", "confidence", "source", "cost")
+def _judged(rows: DataFrame, open_: Column, judge: Judge, native: Judge, name: str) -> DataFrame:
+    """``rows`` with the judge's verdict on open rows in column ``name``."""
+    if judge is native:
+        found = judge(rows).withColumnRenamed("judgment", name)
+        return found.withColumn(name, F.when(open_, F.col(name)))
+    rows = rows.withColumn("_open", open_).persist()
+    seen = judge(rows.filter("_open").drop("_open")).withColumnRenamed("judgment", name)
+    rest = rows.filter(~F.col("_open")).drop("_open")
+    return seen.unionByName(rest, allowMissingColumns=True)
 
 
-def _done(rows: DataFrame, value: Column, confidence: Column, source: Column, cost: float) -> DataFrame:
-    return rows.select("doc_id", "field_name", value.alias("value"), confidence.alias("confidence"), source.alias("source"), F.lit(cost).alias("cost"))
+def _outcome(*tiers: tuple[Column, Column, Column, Column, Column]) -> Column:
+    """The first tier whose condition holds, as a struct; tiers are (condition, value, confidence, source, cost)."""
+    out = None
+    for condition, value, confidence, source, cost in tiers:
+        row = F.struct(value.cast("string").alias("value"), confidence.cast("double").alias("confidence"), source.alias("source"), cost.cast("double").alias("cost"))
+        condition = F.coalesce(condition, F.lit(False))
+        out = F.when(condition, row) if out is None else out.when(condition, row)
+    return out
 
 
 def _value(i: str) -> Column:
@@ -113,32 +128,40 @@ def pipeline_ladder(agreed: DataFrame, contexts: DataFrame, c: LadderConfig = La
     its confidence.
     """
     kwargs = {} if dealers is None else {"names": dealers}
+    visual = F.col("field_name").isin(*VISUAL_FIELDS)
     rows = agreed.withColumns({"v1": _value("1"), "v2": _value("2"), "value0": _value("")})
-    done = [_done(rows.filter(~F.col("conflict")), F.col("value0"), F.col("confidence"), F.lit("tier1_consensus"), 0.0)]
-    # only conflicts need the context
-    open_ = rows.filter("conflict").join(contexts.select("doc_id", F.substring("context", 1, 3000).alias("context")), "doc_id", "left").withColumn("context", F.coalesce("context", F.lit("")))
-    dealer = prefilter_dealers(open_.filter("field_name = 'dealer_name'"), "v1", "v2", threshold=c.prefilter, **kwargs)
-    done.append(_done(dealer.filter("locked is not null"), F.col("locked"), F.col("locked_confidence"), F.lit("tier1_fuzzy_match"), 0.0))
-    keep = ["doc_id", "field_name", "conflict_type", "v1", "v2", "c1", "c2", "context"]
-    open_ = open_.filter("field_name <> 'dealer_name'").select(*keep).unionByName(dealer.filter("locked is null").select(*keep))
-    ruled = open_.withColumn("rule", tier1(F.col("field_name"), F.col("conflict_type"), F.col("v1"), F.col("v2"), F.col("c1"), F.col("c2"), F.substring("context", 1, 500), c))
-    sure = F.coalesce(F.col("rule.confidence") >= c.tier1, F.lit(False))
-    done.append(_done(ruled.filter(sure), F.col("rule.value"), F.col("rule.confidence"), F.concat(F.lit("tier1_"), F.col("rule.method")), 0.0))
-    open_ = ruled.filter(~sure).drop("rule")
-    texts = slm(open_.filter(~F.col("field_name").isin(*VISUAL_FIELDS)).withColumn("context", F.substring("context", 1, 1500)))
-    sure = F.coalesce((F.col("judgment.status") == "RESOLVED") & (F.col("judgment.confidence") >= c.slm), F.lit(False))
-    done.append(_done(texts.filter(sure), F.col("judgment.value"), F.col("judgment.confidence"), F.lit("tier2_slm"), 0.001))
-    open_ = texts.filter(~sure).drop("judgment").unionByName(open_.filter(F.col("field_name").isin(*VISUAL_FIELDS)))
-    spent = 0.001
+    # only conflicts need the context and the dealer list
+    clash = F.coalesce("conflict", F.lit(False))
+    texts = contexts.select(F.col("doc_id").alias("_doc"), F.substring("context", 1, 3000).alias("context"))
+    rows = rows.join(texts, clash & (F.col("doc_id") == F.col("_doc")), "left").withColumn("context", F.coalesce("context", F.lit(""))).drop("_doc")
+    dealer = clash & (F.col("field_name") == "dealer_name")
+    rows = rows.withColumns({"_d1": F.when(dealer, F.col("v1")), "_d2": F.when(dealer, F.col("v2"))})
+    rows = prefilter_dealers(rows, "_d1", "_d2", threshold=c.prefilter, **kwargs)
+    rule = tier1(F.col("field_name"), F.col("conflict_type"), F.col("v1"), F.col("v2"), F.col("c1"), F.col("c2"), F.substring("context", 1, 500), c)
+    rows = rows.withColumn("rule", F.when(clash & F.col("locked").isNull(), rule))
+    ruled = F.coalesce(F.col("rule.confidence") >= c.tier1, F.lit(False))
+    open_ = clash & F.col("locked").isNull() & ~ruled
+    # the text judge reads half of the context
+    rows = rows.withColumn("_all", F.col("context")).withColumn("context", F.substring("context", 1, 1500))
+    rows = _judged(rows, open_ & ~visual, slm, slm_fallback, "slm").withColumn("context", F.col("_all"))
+    judged = F.coalesce((F.col("slm.status") == "RESOLVED") & (F.col("slm.confidence") >= c.slm), F.lit(False))
+    seen, spent = F.lit(False), 0.001
     if c.mode == "full":
-        seen = vlm(open_)
-        sure = F.coalesce(F.col("judgment.status") == "RESOLVED", F.lit(False))
-        done.append(_done(seen.filter(sure), F.col("judgment.value"), F.col("judgment.confidence"), F.lit("tier3_vlm"), 0.021))
-        open_, spent = seen.filter(~sure), 0.021
+        rows = _judged(rows, open_ & ~judged, vlm, vlm_unavailable, "vlm")
+        seen, spent = F.coalesce(F.col("vlm.status") == "RESOLVED", F.lit(False)), 0.021
+    else:
+        rows = rows.withColumn("vlm", F.lit(None).cast("struct<value:string,confidence:double,status:string>"))
     first = text.quality_pipeline(F.col("v1"), F.col("c1")) >= text.quality_pipeline(F.col("v2"), F.col("c2"))
-    value, confidence = F.when(first, F.col("v1")).otherwise(F.col("v2")), F.when(first, F.col("c1")).otherwise(F.col("c2"))
-    done.append(_done(open_, value, confidence * c.fallback, F.lit("tier_fallback"), spent))
-    return reduce(DataFrame.unionByName, done)
+    better, its = F.when(first, F.col("v1")).otherwise(F.col("v2")), F.when(first, F.col("c1")).otherwise(F.col("c2"))
+    out = _outcome(
+        (~clash, F.col("value0"), F.col("confidence"), F.lit("tier1_consensus"), F.lit(0.0)),
+        (F.col("locked").isNotNull(), F.col("locked"), F.col("locked_confidence"), F.lit("tier1_fuzzy_match"), F.lit(0.0)),
+        (ruled, F.col("rule.value"), F.col("rule.confidence"), F.concat(F.lit("tier1_"), F.col("rule.method")), F.lit(0.0)),
+        (judged, F.col("slm.value"), F.col("slm.confidence"), F.lit("tier2_slm"), F.lit(0.001)),
+        (seen, F.col("vlm.value"), F.col("vlm.confidence"), F.lit("tier3_vlm"), F.lit(0.021)),
+        (F.lit(True), better, its * c.fallback, F.lit("tier_fallback"), F.lit(spent)),
+    )
+    return rows.select("doc_id", "field_name", out.alias("_o")).select("doc_id", "field_name", "_o.*")
 
 
 def library_ladder(conflicts: DataFrame, c: LadderConfig = LadderConfig(), slm: Judge = slm_fallback, vlm: Judge = vlm_unavailable) -> DataFrame:
@@ -149,26 +172,27 @@ def library_ladder(conflicts: DataFrame, c: LadderConfig = LadderConfig(), slm:
     Result: ``doc_id, field_name, value, confidence, source, tier, cost``.
     """
     image = F.col("has_image") if "has_image" in conflicts.columns else F.lit(False)
-    rows = conflicts.withColumn("_image", image)
-    ruled = rows.withColumn("rule", tier1(F.col("field_name"), F.col("conflict_type"), F.col("v1"), F.col("v2"), F.col("c1"), F.col("c2"), F.col("context"), c))
-    done = [_done(ruled.filter("rule is not null"), F.col("rule.value"), F.col("rule.confidence"), F.col("rule.method"), 0.0).withColumn("tier", F.lit(1))]
-    judged = slm(ruled.filter("rule is null").drop("rule"))
-    sure = F.coalesce(F.col("judgment.status") == "RESOLVED", F.lit(False))
-    done.append(_done(judged.filter(sure), F.col("judgment.value"), F.col("judgment.confidence"), F.lit("slm_judge"), 0.001).withColumn("tier", F.lit(2)))
-    open_ = judged.filter(~sure)
-    last, spent = (3, 0.021) if c.mode == "full" else (2, 0.001)
+    rule = tier1(F.col("field_name"), F.col("conflict_type"), F.col("v1"), F.col("v2"), F.col("c1"), F.col("c2"), F.col("context"), c)
+    rows = conflicts.withColumns({"_image": image, "rule": rule})
+    ruled = F.col("rule").isNotNull()
+    rows = _judged(rows, ~ruled, slm, slm_fallback, "slm")
+    judged = F.coalesce(F.col("slm.status") == "RESOLVED", F.lit(False))
+    last, spent, seen = 2, 0.001, F.lit(False)
     if c.mode == "full":
-        seen = vlm(open_.filter((F.col("judgment.status") == "UNCERTAIN") & F.col("_image")).drop("judgment"))
-        sure = F.coalesce(F.col("judgment.status") == "RESOLVED", F.lit(False))
-        done.append(_done(seen.filter(sure), F.col("judgment.value"), F.col("judgment.confidence"), F.lit("vlm_judge"), 0.021).withColumn("tier", F.lit(3)))
-        rest = open_.filter(~F.coalesce((F.col("judgment.status") == "UNCERTAIN") & F.col("_image"), F.lit(False))).drop("judgment")
-        open_ = rest.unionByName(seen.filter(~sure).drop("judgment"))
+        rows = _judged(rows, ~ruled & ~judged & F.coalesce(F.col("slm.status") == "UNCERTAIN", F.lit(False)) & F.col("_image"), vlm, vlm_unavailable, "vlm")
+        last, spent, seen = 3, 0.021, F.coalesce(F.col("vlm.status") == "RESOLVED", F.lit(False))
+    else:
+        rows = rows.withColumn("vlm", F.lit(None).cast("struct<value:string,confidence:double,status:string>"))
     q1, q2 = (text.quality_ladder(F.col(f"v{i}"), F.col(f"c{i}"), F.col("field_name")) for i in (1, 2))
-    open_ = open_.withColumns({"_q1": q1, "_q2": q2})
-    first = F.col("_q1") >= F.col("_q2")
-    value, best = F.when(first, F.col("v1")).otherwise(F.col("v2")), F.greatest("_q1", "_q2")
-    done.append(_done(open_, value, best * c.fallback, F.lit("quality_fallback"), spent).withColumn("tier", F.lit(last)))
-    return reduce(DataFrame.unionByName, done)
+    rows = rows.withColumns({"_q1": q1, "_q2": q2})
+    out = _outcome(
+        (ruled, F.col("rule.value"), F.col("rule.confidence"), F.col("rule.method"), F.lit(0.0)),
+        (judged, F.col("slm.value"), F.col("slm.confidence"), F.lit("slm_judge"), F.lit(0.001)),
+        (seen, F.col("vlm.value"), F.col("vlm.confidence"), F.lit("vlm_judge"), F.lit(0.021)),
+        (F.lit(True), F.when(F.col("_q1") >= F.col("_q2"), F.col("v1")).otherwise(F.col("v2")), F.greatest("_q1", "_q2") * c.fallback, F.lit("quality_fallback"), F.lit(spent)),
+    )
+    tier = F.when(ruled, 1).when(judged, 2).when(seen, 3).otherwise(last)
+    return rows.select("doc_id", "field_name", out.alias("_o"), tier.alias("tier")).select("doc_id", "field_name", "_o.*", "tier")
 
 
 def mark_resolved(agreed: DataFrame, resolved: DataFrame) -> DataFrame:

@@ -6,13 +6,13 @@ is a dimension of a few thousand names at most (checked), which is broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..config import DEALERS
+from ..config import DEALERS, ENGINES
 from ..functions import fuzzy, text
 
 #: A longer dealer list is not broadcast against every distinct name.
@@ -79,35 +79,46 @@ def merge_lines(lines: DataFrame, least_iou: float = 0.5) -> DataFrame:
     Every first-engine line, in order, takes the free second-engine line with
     the largest IoU of ``least_iou`` or more (the earlier one if equal).
     Lines: ``doc_id, engine, line_no, text, bbox (x, y, w, h), confidence``.
-    Greedy matching depends on order, so a document's lines (one page) meet in
-    one group.  Result: ``doc_id, line1, line2, iou, text, agree``.
+    Greedy matching depends on order, so a document's lines (one page) travel
+    as one array; Python sees many documents per batch.
+    Result: ``doc_id, line1, line2, iou, text, agree``.
     """
-    import pandas as pd
 
-    def merge(page: pd.DataFrame) -> pd.DataFrame:
-        doc = page["doc_id"].iloc[0]
-        page = page.sort_values("line_no")
-        first, second = ([r for r in page.itertuples() if r.engine == e] for e in ("paddle", "deepseek"))
-        free, out = list(second), []
+    def merge(page: list) -> Iterator[tuple]:
+        first, free = ([r for r in page if r["engine"] == e] for e in ENGINES)
         for a in first:
             best, at = 0.0, None
             for b in free:
-                w = min(a.bbox[0] + a.bbox[2], b.bbox[0] + b.bbox[2]) - max(a.bbox[0], b.bbox[0])
-                h = min(a.bbox[1] + a.bbox[3], b.bbox[1] + b.bbox[3]) - max(a.bbox[1], b.bbox[1])
-                inter = max(0, w) * max(0, h)
-                union = a.bbox[2] * a.bbox[3] + b.bbox[2] * b.bbox[3] - inter
-                score = inter / union if union > 0 else 0.0
+                score = _box_iou(a["bbox"], b["bbox"])
                 if score >= least_iou and score > best:
                     best, at = score, b
             if at is None:
-                out.append((doc, a.line_no, None, 0.0, a.text, False))
+                yield a["line_no"], None, 0.0, a["text"], False
             else:
                 free.remove(at)
-                x, y = a.text.strip().lower(), at.text.strip().lower()
-                union_chars = set(x) | set(y)
-                agree = x == y or (bool(x and y) and len(set(x) & set(y)) / len(union_chars) >= 0.8)
-                out.append((doc, a.line_no, at.line_no, best, a.text if a.confidence >= at.confidence else at.text, agree))
-        out += [(doc, None, b.line_no, 0.0, b.text, False) for b in free]
-        return pd.DataFrame(out, columns=["doc_id", "line1", "line2", "iou", "text", "agree"]).astype({"line1": "Int32", "line2": "Int32"})
-
-    return lines.groupBy("doc_id").applyInPandas(merge, "doc_id long, line1 int, line2 int, iou double, text string, agree boolean")
+                yield a["line_no"], at["line_no"], best, (a if a["confidence"] >= at["confidence"] else at)["text"], _agree(a["text"], at["text"])
+        for b in free:
+            yield None, b["line_no"], 0.0, b["text"], False
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(doc, *row) for doc, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for row in merge(page)]
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.string(), pa.bool_())
+            names = ("doc_id", "line1", "line2", "iou", "text", "agree")
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=list(names))
+
+    pages = lines.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("line_no", "engine", "bbox", "text", "confidence"))).alias("page"))
+    return pages.mapInArrow(run, "doc_id long, line1 int, line2 int, iou double, text string, agree boolean")
+
+
+def _box_iou(p: list[int], q: list[int]) -> float:
+    across = min(p[0] + p[2], q[0] + q[2]) - max(p[0], q[0])
+    down = min(p[1] + p[3], q[1] + q[3]) - max(p[1], q[1])
+    inter = max(0, across) * max(0, down)
+    union = p[2] * p[3] + q[2] * q[3] - inter
+    return inter / union if union > 0 else 0.0
+
+
+def _agree(a: str, b: str) -> bool:
+    x, y = a.strip().lower(), b.strip().lower()
+    return x == y or (bool(x and y) and len(set(x) & set(y)) / len(set(x) | set(y)) >= 0.8)

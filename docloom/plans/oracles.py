@@ -336,7 +336,7 @@ SAMPLES = """
     sm AS (SELECT 'quality' AS field_name, ((doc_id * 37 + 13) % 101) / 100::DOUBLE AS confidence, quality = 1 AS correct FROM labels
       UNION ALL SELECT 'toxic', ((doc_id * 53 + 13) % 101) / 100::DOUBLE, toxic = 1 FROM labels)"""
 BINS = """
-    bc AS (SELECT field_name, least(floor(confidence * 10), 9)::INTEGER AS bin, count(*) AS samples, count_if(correct) AS yes FROM sm GROUP BY ALL),
+    bc AS (SELECT field_name, least(floor(confidence * 10), 9)::INTEGER AS bin, count(*) AS samples, count(*) FILTER (WHERE correct) AS yes FROM sm GROUP BY ALL),
     bins AS (SELECT g.field_name, g.bin, coalesce(samples, 0)::BIGINT AS samples, coalesce(yes::DOUBLE / samples, (g.bin + 0.5::DOUBLE) / 10) AS value
       FROM (SELECT f.field_name, b.bin FROM (SELECT field_name FROM sm GROUP BY field_name HAVING count(*) >= 10) f, (SELECT unnest(range(10))::INTEGER AS bin) b) g LEFT JOIN bc ON bc.field_name = g.field_name AND bc.bin = g.bin)"""
 ROWS = "rs AS (SELECT o_orderkey AS doc_id, CASE WHEN o_orderkey % 17 <> 0 THEN ((o_orderkey * 29) % 100) / 100::DOUBLE END AS confidence, o_orderkey AS pos FROM orders)"
@@ -423,31 +423,31 @@ def oracle_sql() -> dict[str, str]:
             SELECT {SHOWN}, tier, cost FROM fin""",
         "doc_confidence_min": f"WITH {ALL} SELECT doc_id, coalesce(min(confidence), 0) AS document_confidence FROM agr GROUP BY doc_id",
         "doc_confidence_geomean": f"WITH {ALL} SELECT doc_id, round(exp(avg(ln(confidence + 1e-10::DOUBLE))), 6) AS document_confidence FROM agr GROUP BY doc_id",
-        "source_stats": f"{ladder_sql('full')} SELECT count_if(source IN ('consensus', 'paddle', 'deepseek', 'quality_fallback')) AS ocr_fields, count_if(contains(source, 'slm')) AS slm_fields, count_if(contains(source, 'vlm')) AS vlm_fields FROM fin",
+        "source_stats": f"{ladder_sql('full')} SELECT count(*) FILTER (WHERE source IN ('consensus', 'paddle', 'deepseek', 'quality_fallback')) AS ocr_fields, count(*) FILTER (WHERE contains(source, 'slm')) AS slm_fields, count(*) FILTER (WHERE contains(source, 'vlm')) AS vlm_fields FROM fin",
         "result_documents": f"""{ladder_sql('full')}, g AS (SELECT doc_id, count(*)::INTEGER AS n_fields, max(CASE WHEN field_name = 'dealer_name' THEN (CASE WHEN contains(source, 'slm') THEN 'slm' ELSE source END) END) AS dealer_source, round(min(confidence), 4) AS confidence, sum(cost::DECIMAL(10,4))::DOUBLE AS cost FROM fin GROUP BY doc_id) SELECT * FROM g""",
         "cost_by_doc": f"WITH {LOG} SELECT doc_id, sum(cost)::DOUBLE AS cost, sum(latency::DECIMAL(18,6))::DOUBLE AS latency, count(*) AS calls FROM lg GROUP BY doc_id",
         "cost_breakdown": f"WITH {LOG} SELECT doc_id, component, sum(cost)::DOUBLE AS cost, sum(latency::DECIMAL(18,6))::DOUBLE AS latency, count(*) AS calls FROM lg GROUP BY ALL",
-        "cost_summary": f"""WITH {LOG}, t AS (SELECT count(DISTINCT doc_id) AS documents, sum(cost)::DOUBLE AS total_cost, sum(latency::DECIMAL(18,6))::DOUBLE AS total_latency, count_if(component = 'tier3_vlm') AS vlm_calls FROM lg)
+        "cost_summary": f"""WITH {LOG}, t AS (SELECT count(DISTINCT doc_id) AS documents, sum(cost)::DOUBLE AS total_cost, sum(latency::DECIMAL(18,6))::DOUBLE AS total_latency, count(*) FILTER (WHERE component = 'tier3_vlm') AS vlm_calls FROM lg)
             SELECT *, total_cost / documents AS average_cost, total_latency / documents AS average_latency, vlm_calls::DOUBLE / documents AS vlm_rate, total_cost / documents < 0.01::DOUBLE AS cost_ok, total_latency / documents < 30 AS latency_ok, vlm_calls::DOUBLE / documents < 0.1::DOUBLE AS vlm_ok FROM t""",
-        "cost_windows": f"WITH {LOG} SELECT date_trunc('day', ts)::TIMESTAMP AS start, sum(cost)::DOUBLE AS cost, count(*) AS calls, count_if(component = 'tier3_vlm') AS vlm_calls FROM lg GROUP BY ALL",
+        "cost_windows": f"WITH {LOG} SELECT date_trunc('day', ts)::TIMESTAMP AS start, sum(cost)::DOUBLE AS cost, count(*) AS calls, count(*) FILTER (WHERE component = 'tier3_vlm') AS vlm_calls FROM lg GROUP BY ALL",
         "log_metadata": "SELECT event_id AS call_id, coalesce(json_extract(props, '$.k')::INTEGER, 0) AS k FROM events",
         "eval_fields": f"""WITH {joined}, v AS (SELECT *, CASE WHEN vis AND p AND gp AND b IS NOT NULL AND gb IS NOT NULL THEN {iou('b', 'gb')} END AS i FROM jd WHERE has_g)
-            SELECT field_name, count_if(ok) AS correct, count(*) AS total, count_if(ok)::DOUBLE / count(*) AS accuracy, count(i) AS iou_samples, round(avg(i), 6) AS mean_iou FROM v GROUP BY field_name""",
-        "eval_docs": f"WITH {joined}, v AS (SELECT doc_id, count_if(ok) >= {len(FIELDS)} AS r FROM jd WHERE has_g GROUP BY doc_id) SELECT count_if(r) AS correct_documents, count(*) AS documents, count_if(r)::DOUBLE / count(*) AS accuracy FROM v",
+            SELECT field_name, count(*) FILTER (WHERE ok) AS correct, count(*) AS total, count(*) FILTER (WHERE ok)::DOUBLE / count(*) AS accuracy, count(i) AS iou_samples, round(avg(i), 6) AS mean_iou FROM v GROUP BY field_name""",
+        "eval_docs": f"WITH {joined}, v AS (SELECT doc_id, count(*) FILTER (WHERE ok) >= {len(FIELDS)} AS r FROM jd WHERE has_g GROUP BY doc_id) SELECT count(*) FILTER (WHERE r) AS correct_documents, count(*) AS documents, count(*) FILTER (WHERE r)::DOUBLE / count(*) AS accuracy FROM v",
         "eval_strict": f"WITH {ALL}, {GOLD}, {STRICT} SELECT doc_id, field_name, correct, score FROM st",
-        "eval_overall": f"WITH {ALL}, {GOLD}, {STRICT} SELECT coalesce(field_name, 'overall') AS field_name, count_if(correct) AS correct, count(*) AS total, count_if(correct) * 100::DOUBLE / count(*) AS accuracy FROM st GROUP BY ROLLUP (field_name)",
+        "eval_overall": f"WITH {ALL}, {GOLD}, {STRICT} SELECT coalesce(field_name, 'overall') AS field_name, count(*) FILTER (WHERE correct) AS correct, count(*) AS total, count(*) FILTER (WHERE correct) * 100::DOUBLE / count(*) AS accuracy FROM st GROUP BY ROLLUP (field_name)",
         "eval_skips": """SELECT g.o_orderkey AS doc_id, CASE WHEN g.o_orderkey % 5 = 0 THEN 'golden_error' WHEN p.o_orderkey IS NULL THEN 'not_in_results' WHEN p.o_orderkey % 13 = 0 THEN 'prediction_error' WHEN g.o_orderkey % 11 = 0 OR p.o_orderkey % 17 = 0 THEN 'missing_fields' END AS skip_reason
             FROM (SELECT * FROM orders WHERE o_orderkey % 3 = 0) g LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 4 <> 0) p ON g.o_orderkey = p.o_orderkey""",
-        "diagnostics_accuracy": f"WITH {ALL}, {GOLD}, {judged('agr', 'jd', False)}, v AS (SELECT doc_id, bool_and(has_g AND ok) AS r FROM jd GROUP BY doc_id) SELECT count_if(r) AS correct_documents, count(*) AS documents, count_if(r)::DOUBLE / count(*) AS accuracy FROM v",
+        "diagnostics_accuracy": f"WITH {ALL}, {GOLD}, {judged('agr', 'jd', False)}, v AS (SELECT doc_id, bool_and(has_g AND ok) AS r FROM jd GROUP BY doc_id) SELECT count(*) FILTER (WHERE r) AS correct_documents, count(*) AS documents, count(*) FILTER (WHERE r)::DOUBLE / count(*) AS accuracy FROM v",
         "error_breakdown": f"WITH {ALL}, {GOLD}, {judged('agr', 'jd', False)} SELECT {CATEGORY} AS category, count(*) AS errors FROM jd WHERE has_g AND NOT ok GROUP BY 1",
         "error_by_field": f"WITH {ALL}, {GOLD}, {judged('agr', 'jd', False)} SELECT field_name, {CATEGORY} AS category, count(*) AS errors FROM jd WHERE has_g AND NOT ok GROUP BY ALL",
         "ablation": f"""WITH {ALL}, {GOLD}, pv AS (
               SELECT 'consensus' AS config, doc_id, field_name, s, n, p, b, num, vis FROM agr UNION ALL SELECT 'paddle_only', doc_id, field_name, s1, n1, p1, b1, num, vis FROM agr UNION ALL SELECT 'deepseek_only', doc_id, field_name, s2, n2, p2, b2, num, vis FROM agr),
-            {judged('pv', 'jd')}, v AS (SELECT config, doc_id, count_if(ok) >= {len(FIELDS)} AS r FROM jd WHERE has_g GROUP BY ALL)
-            SELECT config, count_if(r) AS correct_documents, count(*) AS documents, count_if(r)::DOUBLE / count(*) AS accuracy FROM v GROUP BY config""",
+            {judged('pv', 'jd')}, v AS (SELECT config, doc_id, count(*) FILTER (WHERE ok) >= {len(FIELDS)} AS r FROM jd WHERE has_g GROUP BY ALL)
+            SELECT config, count(*) FILTER (WHERE r) AS correct_documents, count(*) AS documents, count(*) FILTER (WHERE r)::DOUBLE / count(*) AS accuracy FROM v GROUP BY config""",
         "calibration_bins": f"WITH {SAMPLES}, {BINS} SELECT field_name, bin, samples, value FROM bins",
         "calibration_apply": f"WITH {SAMPLES}, {BINS} SELECT sm.field_name, sm.confidence, min(coalesce(value, sm.confidence)) AS calibrated, count(*) AS samples FROM sm LEFT JOIN bins b ON b.field_name = sm.field_name AND b.bin = least(floor(sm.confidence * 10), 9) GROUP BY ALL",
-        "ece": f"""WITH {SAMPLES}, b AS (SELECT field_name, floor(confidence * 10) AS bin, count(*) AS k, count_if(correct) AS yes, sum(confidence::DECIMAL(18,9)) AS total FROM sm GROUP BY ALL)
+        "ece": f"""WITH {SAMPLES}, b AS (SELECT field_name, floor(confidence * 10) AS bin, count(*) AS k, count(*) FILTER (WHERE correct) AS yes, sum(confidence::DECIMAL(18,9)) AS total FROM sm GROUP BY ALL)
             SELECT field_name, sum(k)::BIGINT AS samples, sum(yes)::DOUBLE / sum(k) AS accuracy, round(sum(CASE WHEN bin >= 0 AND bin < 10 THEN abs(yes - total) ELSE 0 END)::DOUBLE / sum(k), 9) AS ece FROM b GROUP BY field_name""",
         "al_lowconf": f"WITH {ROWS} SELECT * FROM rs ORDER BY coalesce(confidence, 0), pos LIMIT 10",
         "al_borderline": f"WITH {ROWS} SELECT * FROM rs WHERE confidence BETWEEN 0.6::DOUBLE AND 0.95::DOUBLE ORDER BY pos LIMIT 10",
