@@ -223,17 +223,18 @@ def words_of(text: Column) -> Column:
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.withColumn("row", F.xxhash64("doc_id", "text"))
+    # the id as text, so that rows without one join like any other
+    return rows.withColumns({"row": F.xxhash64("doc_id", "text"), "idkey": F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))})
 
 
 def paragraphs(docs: DataFrame, p: LicenseParams, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Distinct lines that hold an anchor word: ``row, doc_id, paragraph, words``; ``row`` stands for a document's id and text."""
+    """Distinct lines that hold an anchor word: ``row, idkey, paragraph, words``; ``row`` stands for a document's id and text."""
     rows = _rows(docs, id_col, text_col)
     anchor = f"(?i)(?<![a-z0-9])({ANCHORS})"
     rows = rows.filter(F.col("text").rlike(anchor))
-    lines = rows.select("row", "doc_id", F.posexplode(F.split("text", "\\R")).alias("paragraph", "line")).filter(F.col("line").rlike(anchor))
-    lines = lines.groupBy("row", "doc_id", "paragraph").agg(F.first("line").alias("line"))
-    return lines.select("row", "doc_id", "paragraph", words_of(F.col("line")).alias("words"))
+    lines = rows.select("row", "idkey", F.posexplode(F.split("text", "\\R")).alias("paragraph", "line")).filter(F.col("line").rlike(anchor))
+    lines = lines.groupBy("row", "idkey", "paragraph").agg(F.first("line").alias("line"))
+    return lines.select("row", "idkey", "paragraph", words_of(F.col("line")).alias("words"))
 
 
 def classify(docs: DataFrame, p: LicenseParams = LicenseParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -255,7 +256,7 @@ def classify(docs: DataFrame, p: LicenseParams = LicenseParams(), id_col: str =
             ).otherwise(F.array().cast("array<string>")),
         )
     )
-    key = ["row", "doc_id", "paragraph"]
+    key = ["row", "idkey", "paragraph"]
     grams = lines.select(*key, F.explode(F.array_distinct(spans)).alias("gram"))
     # both tables are fixed by the templates above: some hundred rows
     hits = grams.join(F.broadcast(weights), "gram")
@@ -272,19 +273,19 @@ def classify(docs: DataFrame, p: LicenseParams = LicenseParams(), id_col: str =
     sure = (F.col("family") != OTHER) & (F.col("probability") >= p.least) & (F.col("overlap") >= p.confirm)
     licence = (F.col("other") <= 1 - p.licence)
     family = F.when(sure, F.col("family")).when(licence, UNKNOWN).otherwise(OTHER)
-    return out.select("row", "doc_id", "paragraph", family.alias("family"), F.round("probability", 6).alias("probability"), F.round("overlap", 6).alias("overlap"), sure.alias("confirmed"))
+    return out.select("row", "idkey", F.col("idkey").try_cast("long").alias("doc_id"), "paragraph", family.alias("family"), F.round("probability", 6).alias("probability"), F.round("overlap", 6).alias("overlap"), sure.alias("confirmed"))
 
 
 def scan(docs: DataFrame, p: LicenseParams = LicenseParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: ``doc_id, family, probability, families, paragraphs`` (the surest confirmed family first)."""
     found = classify(docs, p, id_col, text_col).filter(F.col("family") != OTHER)
-    best = found.groupBy("row", F.col("doc_id").alias("_id")).agg(
+    best = found.groupBy("row", "idkey").agg(
         F.max(F.struct("confirmed", "probability", "overlap", F.negative(F.col("paragraph")).alias("early"), "family")).alias("best"),
         F.sort_array(F.collect_set("family")).alias("families"),
         F.count(F.lit(1)).alias("paragraphs"),
     )
-    rows = _rows(docs, id_col, text_col).select(F.col("row").alias("_row"), "doc_id")
-    return rows.join(best, (F.col("_row") == F.col("row")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(
+    rows = _rows(docs, id_col, text_col).select("row", "idkey", "doc_id")
+    return rows.join(best, ["row", "idkey"], "left").select(
         "doc_id",
         F.col("best.family").alias("family"),
         F.col("best.probability").alias("probability"),
