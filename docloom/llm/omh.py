@@ -11,9 +11,10 @@ folder); exact copies collapse to one representative per distinct word
 sequence; each sketch bucket links its members to the bucket's smallest
 member, which needs a grouped minimum and an equi-join, both linear in the
 rows; after alignment, buckets that still hold several components are compared
-across components in fixed-size blocks of compact signatures (an exact lower
-bound of the distance discards most pairs before any text is read), so that a
-chain of near copies whose middle was taken by another member is not lost.
+across components in fixed-size blocks (an exact lower bound of the distance
+discards most pairs before they are aligned, and a pair is looked at in one
+bucket only), so that a chain of near copies whose middle was taken by another
+member is not lost.
 
 Defined cases: words are lower-case runs of letters and digits.  Null, empty
 and word-less texts take no part: each row is its own class.  Texts with fewer
@@ -227,40 +228,63 @@ def _align(pairs: DataFrame, texts: DataFrame, p: OmhParams) -> DataFrame:
     return joined.mapInArrow(_verify(p), _LINK)
 
 
-def _cross_components(p: OmhParams):
-    """Pairs of one block pair of a bucket whose components differ and whose distance bound allows a link."""
+_WORDS = "doc_id long, words binary"
 
-    def run(table: pa.Table) -> pa.Table:
-        side = np.asarray(table["side"])
-        ids, comp, n = np.asarray(table["doc_id"]), np.asarray(table["component"]), np.asarray(table["n"]).astype(np.int64)
+
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        words = [word_hashes(t).astype(np.uint32).tobytes() for t in strings(b.column(1))]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.binary())], names=["doc_id", "words"])
+
+
+def _link_blocks(p: OmhParams):
+    """Links that join the components met in one pair of blocks of a bucket.
+
+    Length and histogram bound the distance from below; a pair is aligned in
+    the first bucket it shares, and only while its components are still apart.
+    """
+
+    def run(key, table):
+        t, one = key[0].as_py(), key[2].as_py() == key[3].as_py()
+        table = table.sort_by("doc_id")
+        side, ids, n = (np.asarray(table[c]) for c in ("side", "doc_id", "n"))
+        n = n.astype(np.int64)
+        root = np.unique(np.asarray(table["component"]), return_inverse=True)[1]
         hist = np.frombuffer(b"".join(table["hist"].to_pylist()), "<i4").reshape(-1, HIST)
-        one = bool(np.asarray(table["i"])[0] == np.asarray(table["j"])[0])
+        sk = np.asarray(table["sk"].combine_chunks().flatten()).reshape(len(ids), -1)[:, :t]
+        words = table["words"]
         left = np.flatnonzero(side == 0)
         right = left if one else np.flatnonzero(side == 1)
-        u, v = [], []
+        u, v, s = [], [], []
         for a in left:
-            ok = (comp[right] != comp[a]) & (np.minimum(n[right], n[a]) >= p.similarity * np.maximum(n[right], n[a]) - 1e-9)
+            ok = (root[right] != root[a]) & (np.minimum(n[right], n[a]) >= p.similarity * np.maximum(n[right], n[a]) - 1e-9)
             if one:
-                ok &= ids[right] < ids[a]
+                ok &= right < a
             near = right[ok]
+            near = near[~(sk[near] == sk[a]).any(1)]
             if not len(near):
                 continue
             longer = np.maximum(n[near], n[a])
-            shared = np.minimum(hist[near], hist[a]).sum(axis=1)
-            near = near[longer - shared <= (1 - p.similarity) * longer + 1e-9]
-            u += [int(max(ids[a], x)) for x in ids[near]]
-            v += [int(min(ids[a], x)) for x in ids[near]]
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+            least = longer - np.minimum(hist[near], hist[a]).sum(axis=1)
+            near, least = near[least <= (1 - p.similarity) * longer + 1e-9], least[least <= (1 - p.similarity) * longer + 1e-9]
+            mine = np.frombuffer(words[int(a)].as_py(), np.uint32) if len(near) else None
+            for b in near[np.argsort(least, kind="stable")]:
+                if root[b] == root[a]:
+                    continue
+                found = similar(mine, np.frombuffer(words[int(b)].as_py(), np.uint32), p.similarity)
+                if found is not None:
+                    u.append(int(max(ids[a], ids[b]))), v.append(int(min(ids[a], ids[b]))), s.append(found)
+                    root[root == root[b]] = root[a]
+        return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())], schema=_LINK_ARROW)
 
     return run
 
 
 def near_duplicates(docs: DataFrame, p: OmhParams = OmhParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, class_id, n_links, kept``.
+    """One row per document: ``doc_id, class_id, kept``.
 
-    ``class_id`` is the smallest id of its group, ``n_links`` the number of
-    other distinct texts that an alignment linked to this one's text, ``kept``
-    whether the document stands for its class.
+    ``class_id`` is the smallest id of its group, ``kept`` tells whether the
+    document stands for its class.
     """
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark, "omh")
@@ -278,34 +302,29 @@ def near_duplicates(docs: DataFrame, p: OmhParams = OmhParams(), id_col: str = "
     rep_texts = texts.join(own, "doc_id", "left_semi")
     star = members.filter("doc_id <> center").select(F.col("doc_id").alias("u"), F.col("center").alias("v")).distinct()
     links = scratch.table(_align(star, rep_texts, p), "star-links")
-    parts = connected_components(links, scratch)
-    known = members.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    # one hop is enough here: it only tells which pairs need no look
+    label = links.groupBy(F.col("u").alias("doc_id")).agg(F.min("v").alias("component"))
+    known = members.select("t", "key", "doc_id").join(label, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     known = scratch.table(known, "known")
     split = known.groupBy("t", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("rows")).filter("lo <> hi and rows > 2")
     split = split.select("t", "key", F.ceil(F.col("rows") / p.block).cast("int").alias("blocks"))
-    rest = known.drop("size", "center").join(split, ["t", "key"]).withColumn("b", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    rest = rest.join(reps.select("doc_id", "n", "hist"), "doc_id")
+    rest = scratch.table(known.join(split, ["t", "key"]), "rest")
+    open_ = rest.select("doc_id").distinct()
+    words = texts.join(open_, "doc_id", "left_semi").mapInArrow(_word_rows, _WORDS).groupBy("doc_id").agg(F.min("words").alias("words"))
+    detail = reps.join(open_, "doc_id", "left_semi").select("doc_id", "n", "hist", "sk").join(words, "doc_id")
+    rest = rest.join(detail, "doc_id").withColumn("b", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     placed = rest.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select(
-        "t", "key", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), (F.col("b") > F.col("o")).cast("int").alias("side"), "doc_id", "component", "n", "hist"
+        "t", "key", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), (F.col("b") > F.col("o")).cast("int").alias("side"), "doc_id", "component", "n", "hist", "sk", "words"
     )
-    more = placed.groupBy("t", "key", "i", "j").applyInArrow(_cross_components(p), "u long, v long").distinct()
-    more = more.join(star, ["u", "v"], "left_anti")
-    links = scratch.table(links.unionByName(_align(more, rep_texts, p)), "links")
+    more = placed.groupBy("t", "key", "i", "j").applyInArrow(_link_blocks(p), _LINK)
+    links = scratch.table(links.unionByName(more), "links")
     parts = connected_components(links, scratch).withColumnRenamed("id", "rep")
-    degree = links.select(F.col("u").alias("rep")).unionByName(links.select(F.col("v").alias("rep"))).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
-    found = membership.join(parts, "rep", "left").join(degree, "rep", "left")
-    found = found.select("doc_id", F.coalesce("component", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
     # repeated ids may carry different texts: they share the smallest of their classes
-    found = found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
+    found = membership.join(parts, "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("class_id"))
     ids = texts.select("doc_id")
-    out = ids.join(found, "doc_id", "left")
-    return out.select(
-        "doc_id",
-        F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-        F.coalesce(F.coalesce(F.col("class_id"), F.col("doc_id")) == F.col("doc_id"), F.lit(True)).alias("kept"),
-    )
+    out = ids.join(found, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
+    return out.withColumn("kept", F.coalesce(F.col("class_id") == F.col("doc_id"), F.lit(True)))
 
 
 def keep_one(docs: DataFrame, p: OmhParams = OmhParams()) -> DataFrame:
