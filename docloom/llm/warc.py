@@ -2,19 +2,26 @@
 
 ``spark.read.format("docloom_warc")`` plans whole archive files as partitions,
 takes predicates on the record type and on the parsed headers, parses the
-headers of a record first and steps over the payload (by its Content-Length)
-of records that the predicates reject or whose payload is not asked for
-(option ``payload=false``).  The writer puts one file per task attempt, rolled
-at ``roll_mb``; the commit lists the files of the successful attempts in a
+headers of a record first and does not decode the payload of records that the
+predicates reject or whose payload is not asked for (option ``payload=false``).
+Each record is a gzip member of its own, as is usual; beside an archive lies
+the list of its members' lengths, so the rest of an unwanted member is not even
+inflated.  Plain ``.warc`` files are read as well and stepped through by
+Content-Length.  The writer puts one file per task attempt, rolled at
+``roll_mb``; the commit lists the files of the successful attempts in a
 manifest, so a retried task leaves no duplicates.  Paths go through
 ``pyarrow.fs``: local and shared folders, and remote stores it knows.
 """
 
 from __future__ import annotations
 
+import gzip
 import json
 import re
+import sys
 import uuid
+import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +34,8 @@ from ._util import Scratch
 #: Payloads below this many bytes are never revisits.
 REVISIT_BYTES = 1000
 MANIFEST = "_manifest.json"
+#: Ending of the list of member lengths (little-endian 64-bit), and the compression level.
+LENGTHS, LEVEL = ".len", 4
 SCHEMA = (
     "record_id string, record_type string, target_uri string, date string, payload_digest string, "
     "refers_to string, content_length long, headers map<string,string>, payload binary"
@@ -53,6 +62,14 @@ def _fs(path: str):
     return pf.FileSystem.from_uri(path)
 
 
+def _little(values: array) -> array:
+    """The values in little-endian order (its own inverse)."""
+    if sys.byteorder == "big":
+        values = array(values.typecode, values)
+        values.byteswap()
+    return values
+
+
 def _clean(value: str) -> str:
     """A header value without characters that would end or split the header."""
     return _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", value)
@@ -83,18 +100,24 @@ class WarcWriter(DataSourceWriter):
     def write(self, iterator: Iterator) -> WriterCommitMessage:
         fs, base = _fs(self.path)
         fs.create_dir(base, recursive=True)
-        files, out, size = [], None, 0
+        files, out, lengths, size = [], None, array("Q"), 0
+
+        def close() -> None:
+            if out is not None:
+                out.close()
+                with fs.open_output_stream(f"{base}/{files[-1]}{LENGTHS}") as side:
+                    side.write(_little(lengths).tobytes())
+
         for row in iterator:
-            data = record_bytes(row.asDict())
-            if out is None or size + len(data) > self.roll > 0 < size:
-                if out is not None:
-                    out.close()
-                files.append(f"part-{uuid.uuid4().hex}.warc")
-                out, size = fs.open_output_stream(f"{base}/{files[-1]}"), 0
+            data = gzip.compress(record_bytes(row.asDict()), LEVEL, mtime=0)
+            if out is None or size + len(data) > self.roll:
+                close()
+                files.append(f"part-{uuid.uuid4().hex}.warc.gz")
+                out, lengths, size = fs.open_output_stream(f"{base}/{files[-1]}", compression=None), array("Q"), 0
             out.write(data)
+            lengths.append(len(data))
             size += len(data)
-        if out is not None:
-            out.close()
+        close()
         return _Files(files)
 
     def commit(self, messages: list) -> None:
@@ -109,6 +132,7 @@ class WarcWriter(DataSourceWriter):
         for m in messages:
             for f in m.files if m is not None else ():
                 fs.delete_file(f"{base}/{f}")
+                fs.delete_file(f"{base}/{f}{LENGTHS}")
 
 
 @dataclass
@@ -147,6 +171,39 @@ def records(stream, wanted, with_payload: bool) -> Iterator[tuple[dict, bytes |
             yield headers, None
 
 
+def _headers(block: bytes) -> dict[str, str]:
+    """The named fields of a record's head, whose first line is the version."""
+    lines = block.split(b"\r\n")
+    if not lines[0].startswith(b"WARC/"):
+        raise ValueError(f"no record starts here: {lines[0][:40]!r}")
+    pairs = (line.decode("utf-8").partition(":") for line in lines[1:] if line)
+    return {name.strip(): value.strip() for name, _, value in pairs}
+
+
+def member_records(stream, lengths: array, wanted, with_payload: bool) -> Iterator[tuple[dict, bytes | None]]:
+    """The same for an archive of gzip members of known lengths: a member is inflated up to the end of its headers first."""
+    at = 0
+    for length in lengths:
+        stream.seek(at)
+        at += length
+        data, inflate, head = stream.read(length), zlib.decompressobj(31), b""
+        while (end := head.find(b"\r\n\r\n")) < 0:
+            piece = inflate.decompress(inflate.unconsumed_tail if head else data, 2048)
+            if not piece:
+                raise ValueError("the archive ends inside a record")
+            head += piece
+        headers = _headers(head[:end])
+        if not wanted(headers):
+            continue
+        payload = None
+        if with_payload:
+            size = int(headers["Content-Length"])
+            payload = (head[end + 4 :] + inflate.decompress(inflate.unconsumed_tail))[:size]
+            if len(payload) < size:
+                raise ValueError("the archive ends inside a record")
+        yield headers, payload
+
+
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
@@ -182,7 +239,12 @@ class WarcReader(DataSourceReader):
         wanted = lambda headers: all(headers.get(name) in values for name, values in self.equal)
         with fs.open_input_file(f"{base}/{partition.file}") as raw:
             stream = io.BufferedReader(_Raw(raw), 1 << 18)
-            for headers, payload in records(stream, wanted, self.payload):
+            if partition.file.endswith(".gz"):
+                with fs.open_input_stream(f"{base}/{partition.file}{LENGTHS}") as side:
+                    found = member_records(stream, _little(array("Q", side.read())), wanted, self.payload)
+            else:
+                found = records(stream, wanted, self.payload)
+            for headers, payload in found:
                 rest = {k: v for k, v in headers.items() if k not in HEADER.values() and k != "Content-Length"}
                 yield (*(headers.get(h) for h in HEADER.values()), int(headers["Content-Length"]), rest, payload)
 
