@@ -113,7 +113,9 @@ class Models:
 
 def train(docs: DataFrame, labels: DataFrame, p: LmParams = LmParams()) -> Models:
     good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id")).distinct().withColumn("_good", F.lit(True))
-    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text")).join(good, "_id", "left")
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
+    # the same plan at every size: labels grow with the documents and are not broadcast
+    rows = rows.join(good.hint("merge"), "_id", "left")
     cells = rows.select("text", "_good").mapInArrow(_count(p), _COUNT)
     got = cells.groupBy("cell").agg(F.sum("everything").alias("everything"), F.sum("target").alias("target")).toArrow()
     starts = np.concatenate([[0], np.cumsum([1 << b for b in p.bits])])
