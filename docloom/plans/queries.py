@@ -147,8 +147,7 @@ def number_text(spark, sf_dir):
 @query
 def quality_pipeline(spark, sf_dir):
     c = tables.read(spark, sf_dir, "conversations")
-    ascii_ = F.regexp_replace("text", r"[^\x00-\x7F]", "")
-    return c.select("conv_id", "turn", text.quality_pipeline(F.substring(ascii_, 1, 120), F.lit(0.8)).alias("score"))
+    return c.select("conv_id", "turn", text.quality_pipeline(F.col("text"), F.lit(0.8)).alias("score"))
 
 
 @query
