@@ -1,14 +1,15 @@
 """Licence scan: a trained paragraph classifier, confirmed against templates.
 
-A paragraph is a line.  Its word uni-, bi- and trigrams are the sparse features
-of a multinomial logistic regression over licence families and a class for
-everything else.  The model is trained here, on templates below under seeded
-word drops, cuts and joins, and on paragraphs that only mention licensing.  The
-probability is calibrated by a temperature fitted on held-out variants, and a
-family below ``least`` is unknown.  A prediction counts once the paragraph also
-shares enough n-grams with a template of that family and holds one of the
-words every template holds (``ANCHORS``).  A paragraph without an anchor can
-therefore not be confirmed, which is why only paragraphs with one are scored.
+A paragraph is a line.  Word uni-, bi- and trigrams are the sparse features of a
+multinomial logistic regression over licence families and a class for everything
+else.  The model is trained here, on templates below under seeded word drops, cuts
+and joins, and on paragraphs that only mention licensing.  The probability is
+calibrated by a temperature fitted on held-out variants, and a family below
+``least`` is unknown.  A prediction counts once the paragraph also shares enough
+n-grams with a template of that family.
+
+Every paragraph is scored but those without any of the model's ``deciding_words``:
+the weights of all n-grams without them, added up, cannot make one a licence.
 
 The main path is DataFrame functions only: split, explode, a join with the
 weight table (its size is fixed by the templates, so it may be broadcast) and
@@ -128,7 +129,7 @@ MENTIONS = (
     "This is a public domain of knowledge and the source of many stories.",
     "Which license should I choose for my own project?",
 )
-#: Every template and every confirmed paragraph holds one of these words, as the start of a word.
+#: Every template but those that only name the GNU licences holds one of these words, as the start of a word.
 ANCHORS = "licens|licenc|unlicense|copyright|redistribut|permission|warrant|proprietary|reserved|cc0|domain"
 _WORD = "[a-z0-9]+"
 
@@ -217,6 +218,34 @@ def train(p: LicenseParams = LicenseParams()) -> LicenseModel:
     return LicenseModel(families, tuple(round(float(v), 6) for v in b), weights, float(temperature))
 
 
+#: Tried first as words that decide nothing; the order changes what is skipped, not the result.
+_COMMON = "the of and in to a is on that it be for as with by are".split()
+
+
+@lru_cache(maxsize=4)
+def deciding_words(p: LicenseParams = LicenseParams()) -> tuple[str, ...]:
+    """Words without which a paragraph is certain to be of no family and not unknown either.
+
+    Of the other words' n-grams, those that speak for a family are added up as
+    if a paragraph held them all, family by family.  That bounds the odds of
+    all families together against ``OTHER``.
+    """
+    model = train(p)
+    grams = [set(g.split()) for g in model.weights]
+    w = np.array(list(model.weights.values()))
+    bias = np.array(model.bias)
+    gain = np.maximum((w[:, :-1] - w[:, -1:]) / model.temperature, 0)
+    base = (bias[:-1] - bias[-1]) / model.temperature
+    most = min(p.least, p.licence, 0.5)
+    words = sorted(set().union(*grams))
+    idle: set[str] = set()
+    for word in sorted(words, key=lambda x: (_COMMON.index(x) if x in _COMMON else len(_COMMON), x)):
+        held = np.array([g <= idle | {word} for g in grams])
+        if np.exp(base + gain[held].sum(0)).sum() < 0.99 * most / (1 - most):
+            idle.add(word)
+    return tuple(x for x in words if x not in idle)
+
+
 def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
 
@@ -228,59 +257,76 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, p: LicenseParams, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Distinct lines that hold an anchor word: ``row, idkey, paragraph, words``; ``row`` stands for a document's id and text."""
-    rows = _rows(docs, id_col, text_col)
-    anchor = f"(?i)(?<![a-z0-9])({ANCHORS})"
-    rows = rows.filter(F.col("text").rlike(anchor))
-    lines = rows.select("row", "idkey", F.posexplode(F.split("text", "\\R")).alias("paragraph", "line")).filter(F.col("line").rlike(anchor))
-    lines = lines.groupBy("row", "idkey", "paragraph").agg(F.first("line").alias("line"))
-    return lines.select("row", "idkey", "paragraph", words_of(F.col("line")).alias("words"))
+    """Paragraphs that hold a deciding word: ``row, idkey, first, last, words``, the lines they are from and their words.
+
+    ``row`` stands for a document's id and text; repeated rows repeat.  A line has ``first = last``.
+    """
+    deciding = F.array(*(F.lit(w) for w in deciding_words(p)))
+    rows = _rows(docs, id_col, text_col).filter(F.col("text") != "")
+    rows = rows.select("row", "idkey", F.transform(F.split("text", "\\R"), words_of).alias("lines"))
+    lines = rows.select("row", "idkey", F.posexplode("lines").alias("first", "words")).filter(F.arrays_overlap("words", deciding))
+    lines = lines.select("row", "idkey", "first", F.col("first").alias("last"), F.array_join("words", " ").alias("words"))
+    return lines
+
+
+def _spans(order: int) -> Column:
+    """The distinct n-grams of ``words``."""
+    return F.array_distinct(
+        F.flatten(
+            F.transform(
+                F.sequence(F.lit(1), F.lit(order)),
+                lambda n: F.when(
+                    F.size("words") >= n,
+                    F.transform(F.sequence(F.lit(1), F.size("words") - n + 1), lambda i: F.array_join(F.slice(F.col("words"), i, n), " ")),
+                ).otherwise(F.array().cast("array<string>")),
+            )
+        )
+    )
 
 
 def classify(docs: DataFrame, p: LicenseParams = LicenseParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The prediction per paragraph with an anchor word: ``doc_id, paragraph, family, probability, overlap, confirmed``."""
+    """The paragraphs that are of a family or unknown: ``doc_id, first, last, family, probability, overlap, confirmed``."""
     spark: SparkSession = docs.sparkSession
     model = train(p)
     families = model.families
-    weights = spark.createDataFrame([(g, list(v)) for g, v in model.weights.items()], "gram string, w array<double>")
+    # the empty n-gram stands in every paragraph, so its count is that of the copies of a repeated row
+    weights = spark.createDataFrame([("", [0.0] * len(families)), *((g, list(v)) for g, v in model.weights.items())], "gram string, w array<double>")
     of_template = [(f, i, g) for f, texts in TEMPLATES.items() for i, t in enumerate(texts) for g in _grams(t, p.order) if " " in g or len(_grams(t, 1)) < 3]
     template = spark.createDataFrame(of_template, "family string, template int, gram string")
     sizes = template.groupBy("family", "template").agg(F.count(F.lit(1)).alias("size"))
-    lines = paragraphs(docs, p, id_col, text_col)
-    spans = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(p.order)),
-            lambda n: F.when(
-                F.size("words") >= n,
-                F.transform(F.sequence(F.lit(1), F.size("words") - n + 1), lambda i: F.array_join(F.slice(F.col("words"), i, n), " ")),
-            ).otherwise(F.array().cast("array<string>")),
-        )
-    )
-    key = ["row", "idkey", "paragraph"]
-    grams = lines.select(*key, F.explode(F.array_distinct(spans)).alias("gram"))
+    lines = paragraphs(docs, p, id_col, text_col).withColumnRenamed("words", "line").withColumn("words", F.split("line", " "))
+    key = ["row", "idkey", "first", "last", "line"]
+    grams = lines.select(*key, F.explode(F.concat(F.array(F.lit("")), _spans(p.order))).alias("gram"))
     # both tables are fixed by the templates above: some hundred rows
     hits = grams.join(F.broadcast(weights), "gram")
-    sums = hits.groupBy(*key).agg(*(F.sum(F.col("w")[i]).alias(f"s{i}") for i in range(len(families))))
+    copies = F.sum((F.col("gram") == "").cast("int"))
+    sums = hits.groupBy(*key).agg(*((F.sum(F.col("w")[i]) / copies).alias(f"s{i}") for i in range(len(families))))
     logits = [(F.col(f"s{i}") + F.lit(b)) / F.lit(model.temperature) for i, b in enumerate(model.bias)]
     sums = sums.withColumn("z", F.array(*logits)).withColumn("top", F.array_max("z"))
     sums = sums.withColumn("e", F.transform("z", lambda v: F.exp(v - F.col("top")))).withColumn("total", F.aggregate("e", F.lit(0.0), lambda a, v: a + v))
     names = F.array(*(F.lit(f) for f in families))
     at = F.array_position("z", F.col("top")).cast("int")
     sums = sums.select(*key, F.element_at(names, at).alias("family"), (F.lit(1.0) / F.col("total")).alias("probability"), (F.element_at("e", len(families)) / F.col("total")).alias("other"))
-    shared = hits.select(*key, "gram").join(F.broadcast(template), "gram").groupBy(*key, "family", "template").agg(F.count(F.lit(1)).alias("n"))
-    shared = shared.join(F.broadcast(sizes), ["family", "template"]).groupBy(*key, "family").agg(F.max(F.col("n") / F.col("size")).alias("overlap"))
-    out = sums.join(shared, [*key, "family"], "left").withColumn("overlap", F.coalesce("overlap", F.lit(0.0)))
-    sure = (F.col("family") != OTHER) & (F.col("probability") >= p.least) & (F.col("overlap") >= p.confirm)
     licence = (F.col("other") <= 1 - p.licence)
+    sums = sums.filter(licence | ((F.col("family") != OTHER) & (F.col("probability") >= p.least)))
+    # the n-grams of the few that are left
+    shared = sums.withColumn("words", F.split("line", " ")).select(*key, "family", "probability", "other", F.explode_outer(_spans(p.order)).alias("gram"))
+    shared = shared.join(F.broadcast(template), ["family", "gram"], "left").join(F.broadcast(sizes), ["family", "template"], "left")
+    held = shared.groupBy(*key, "family", "probability", "other", "template", "size").agg(F.count(F.lit(1)).alias("n"))
+    out = held.groupBy(*key, "family", "probability", "other").agg(F.coalesce(F.max(F.col("n") / F.col("size")), F.lit(0.0)).alias("overlap"))
+    sure = (F.col("family") != OTHER) & (F.col("probability") >= p.least) & (F.col("overlap") >= p.confirm)
     family = F.when(sure, F.col("family")).when(licence, UNKNOWN).otherwise(OTHER)
-    return out.select("row", "idkey", F.col("idkey").try_cast("long").alias("doc_id"), "paragraph", family.alias("family"), F.round("probability", 6).alias("probability"), F.round("overlap", 6).alias("overlap"), sure.alias("confirmed"))
+    out = out.select("row", "idkey", F.col("idkey").try_cast("long").alias("doc_id"), "first", "last", family.alias("family"), F.round("probability", 6).alias("probability"), F.round("overlap", 6).alias("overlap"), sure.alias("confirmed"))
+    return out.filter(F.col("family") != OTHER)
 
 
 def scan(docs: DataFrame, p: LicenseParams = LicenseParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: ``doc_id, family, probability, families, paragraphs`` (the surest confirmed family first)."""
-    found = classify(docs, p, id_col, text_col).filter(F.col("family") != OTHER)
+    found = classify(docs, p, id_col, text_col)
+    one = found.filter("first = last").select("row", "idkey", "family", "confirmed", "probability", "overlap", F.negative(F.col("first")).alias("early"))
+    found = one
     best = found.groupBy("row", "idkey").agg(
-        F.max(F.struct("confirmed", "probability", "overlap", F.negative(F.col("paragraph")).alias("early"), "family")).alias("best"),
+        F.max(F.struct("confirmed", "probability", "overlap", "early", "family")).alias("best"),
         F.sort_array(F.collect_set("family")).alias("families"),
         F.count(F.lit(1)).alias("paragraphs"),
     )

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.llm import lm_score
+from docloom.llm import licenses, lm_score
 
 TEXTS = "doc_id long, text string"
 
@@ -49,3 +49,33 @@ def test_losses_match_unhashed_counts(spark, chunk):
     for i in (0, 1):
         assert got[i]["target_loss"] == pytest.approx(_plain_loss(raw[i], good, p.order, p.smoothing), abs=1e-9)
         assert got[i]["background_loss"] == pytest.approx(_plain_loss(raw[i], raw, p.order, p.smoothing, scale), abs=1e-9)
+
+
+def _family(text, p):
+    """The class of a paragraph by the unfiltered classifier."""
+    m = licenses.train(p)
+    own = licenses._grams(text, p.order)
+    z = (np.array(m.bias) + sum((np.array(m.weights[g]) for g in own if g in m.weights), np.zeros(len(m.families)))) / m.temperature
+    prob = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    family, top = m.families[int(prob.argmax())], prob.max()
+    share = 0.0
+    for t in licenses.TEMPLATES.get(family, ()):
+        want = [g for g in licenses._grams(t, p.order) if " " in g or len(licenses._grams(t, 1)) < 3]
+        share = max(share, len(set(want) & set(own)) / len(want))
+    if family != licenses.OTHER and top >= p.least and share >= p.confirm:
+        return family
+    return licenses.UNKNOWN if prob[-1] <= 1 - p.licence else None
+
+
+def test_every_paragraph_reaches_the_classifier(spark):
+    """Notices without the words licence, copyright and the like, and random mixtures of the model's words."""
+    p = licenses.LicenseParams()
+    rng = np.random.default_rng(4)
+    vocabulary = sorted({w for g in licenses.train(p).weights for w in g.split()})
+    idle = sorted(set(vocabulary) - set(licenses.deciding_words(p)))
+    texts = ["Available under CC BY 4.0", "Released under CC BY-SA 4.0", "Distributed under the GNU GPL v3 or later", "Dual MIT/Apache-2.0", "the man on the moon", *licenses.MENTIONS]
+    texts += [" ".join(rng.choice(vocabulary, rng.integers(1, 20))) for _ in range(150)] + [" ".join(rng.choice(idle, rng.integers(1, 40))) for _ in range(100)] + [" ".join(idle)]
+    want = [_family(t, p) for t in texts]
+    got = {r["doc_id"]: r["family"] for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), TEXTS)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    assert sum(w is not None for w in want[:4]) >= 2 and not any(want[-101:])
