@@ -1,6 +1,9 @@
 """Licence scan: a trained paragraph classifier, confirmed against templates.
 
-A paragraph is a line.  Word uni-, bi- and trigrams are the sparse features of a
+A paragraph is a line, or the words around a line break: as many on either side
+as the longest template has, across further breaks but not across a line without
+words.  So a notice of a template's length that is wrapped over lines lies in one
+paragraph whole.  Word uni-, bi- and trigrams are the sparse features of a
 multinomial logistic regression over licence families and a class for everything
 else.  The model is trained here, on templates below under seeded word drops, cuts
 and joins, and on paragraphs that only mention licensing.  The probability is
@@ -18,7 +21,9 @@ grouped sums.
 Defined cases: null, empty and word-less texts have no paragraph; every
 document gets one row, with family null where nothing was confirmed and
 ``unknown`` where a paragraph reads as a licence but no family is certain.
-Repeated rows get a row each.  Ties go to the first family in order.
+Repeated rows get a row each.  Ties go to the first family in order.  Around a
+break, a family counts where no line in reach is confirmed as it, and once per
+document; unknown counts where no line in reach reads as a licence, and once.
 """
 
 from __future__ import annotations
@@ -262,11 +267,28 @@ def paragraphs(docs: DataFrame, p: LicenseParams, id_col: str = "doc_id", text_c
     ``row`` stands for a document's id and text; repeated rows repeat.  A line has ``first = last``.
     """
     deciding = F.array(*(F.lit(w) for w in deciding_words(p)))
+    longest = max(len(re.findall(_WORD, t.lower())) for texts in TEMPLATES.values() for t in texts)
+    reach = 2 * longest  # every line within a paragraph has a word, so at least half of this are words
     rows = _rows(docs, id_col, text_col).filter(F.col("text") != "")
     rows = rows.select("row", "idkey", F.transform(F.split("text", "\\R"), words_of).alias("lines"))
     lines = rows.select("row", "idkey", F.posexplode("lines").alias("first", "words")).filter(F.arrays_overlap("words", deciding))
     lines = lines.select("row", "idkey", "first", F.col("first").alias("last"), F.array_join("words", " ").alias("words"))
-    return lines
+    # a mark ends every line; two in a row are a line without words
+    flat = rows.filter(F.size("lines") > 1).select("row", "idkey", F.flatten(F.transform("lines", lambda x: F.concat(x, F.array(F.lit("\n"))))).alias("flat"))
+    breaks = flat.select("row", "idkey", "flat", F.posexplode(F.filter(F.transform("flat", lambda w, i: F.when(w == "\n", i + 1)), lambda i: i.isNotNull())).alias("line", "at"))
+    before = F.slice("flat", F.greatest(F.lit(1), F.col("at") - reach), F.least(F.lit(reach), F.col("at") - 1))
+    after = F.slice("flat", F.col("at") + 1, F.lit(reach))
+    breaks = breaks.select("row", "idkey", "line", before.alias("before"), after.alias("after")).filter(F.arrays_overlap("before", deciding) | F.arrays_overlap("after", deciding))
+    before = F.regexp_replace(F.concat(F.array_join("before", " "), F.lit(" ")), r"(?s)^.*\n $|^.*\n (?=\n )", "")
+    after = F.regexp_replace(F.concat(F.lit(" "), F.array_join("after", " ")), r"(?s)^ \n.*| \n(?= \n).*", "")
+    # the nearest words, with the marks between them
+    near = lambda c, regex: F.regexp_extract(c, regex, 0)
+    breaks = breaks.select("row", "idkey", "line", near(before, rf"(?<![a-z0-9])(?:[a-z0-9]+ (?:\n )*){{0,{longest}}}$").alias("before"), near(after, rf"^(?:(?: \n)* [a-z0-9]+){{0,{longest}}}").alias("after"))
+    breaks = breaks.filter("trim(before) <> '' and trim(after) <> ''")
+    marks = lambda c: F.length(c) - F.length(F.replace(F.col(c), F.lit("\n"), F.lit("")))
+    words = F.array_join(words_of(F.concat("before", "after")), " ")
+    breaks = breaks.select("row", "idkey", (F.col("line") - marks("before")).alias("first"), (F.col("line") + 1 + marks("after")).alias("last"), words.alias("words"))
+    return lines.unionByName(breaks.filter(F.arrays_overlap(F.split("words", " "), deciding)))
 
 
 def _spans(order: int) -> Column:
@@ -323,8 +345,14 @@ def classify(docs: DataFrame, p: LicenseParams = LicenseParams(), id_col: str =
 def scan(docs: DataFrame, p: LicenseParams = LicenseParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: ``doc_id, family, probability, families, paragraphs`` (the surest confirmed family first)."""
     found = classify(docs, p, id_col, text_col)
+    lines = found.filter("first = last").select("row", "idkey", F.col("first").alias("at"), F.col("family").alias("line_family"))
+    # the lines that a paragraph around a break reaches
+    near = found.filter("first < last").join(lines, ["row", "idkey"], "left").withColumn("within", F.coalesce(F.col("at").between(F.col("first"), F.col("last")), F.lit(False)))
+    near = near.withColumn("same", F.col("within") & (~F.col("confirmed") | (F.col("line_family") == F.col("family"))))
+    new = near.groupBy(*found.columns).agg(F.max("same").alias("same")).filter("not same")
+    new = new.groupBy("row", "idkey", "family").agg(F.max(F.struct("confirmed", "probability", "overlap", F.negative(F.col("first")).alias("early"))).alias("b"))
     one = found.filter("first = last").select("row", "idkey", "family", "confirmed", "probability", "overlap", F.negative(F.col("first")).alias("early"))
-    found = one
+    found = one.unionByName(new.select("row", "idkey", "family", "b.*"))
     best = found.groupBy("row", "idkey").agg(
         F.max(F.struct("confirmed", "probability", "overlap", "early", "family")).alias("best"),
         F.sort_array(F.collect_set("family")).alias("families"),

@@ -79,3 +79,22 @@ def test_every_paragraph_reaches_the_classifier(spark):
     got = {r["doc_id"]: r["family"] for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), TEXTS)).collect()}
     assert [got[i] for i in range(len(texts))] == want
     assert sum(w is not None for w in want[:4]) >= 2 and not any(want[-101:])
+
+
+WRAPPED = {
+    "gpl": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or",
+    "mit": "Permission is hereby granted, free of charge,\nto any person obtaining a copy of this software\nand associated documentation files (the \"Software\"), to deal",
+    "apache": "Licensed under the Apache License,\nVersion 2.0 (the \"License\"); you may not\nuse this file except in compliance\nwith the License.",
+}
+
+
+def test_wrapped_notices(spark):
+    prose = "a river ran past the old mill and on to the sea\n" * 3
+    texts = [f"{prose}{wrap(w)}\n{prose}" for w in WRAPPED.values() for wrap in (str, lambda x: "# " + x.replace("\n", "\r\n# "))]
+    texts += ["Released under\n\nthe town\n--\nMIT License.", "Released\nunder\nthe\nMIT\nLicense."]
+    rows = [*enumerate(texts), (0, texts[0])]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, TEXTS)).collect()}
+    assert [got[i]["family"] for i in range(6)] == [f for f in WRAPPED for _ in range(2)]
+    assert got[6]["family"] != "mit" and got[7]["family"] == "mit" and got[7]["families"].count("mit") == 1
+    broken = licenses.paragraphs(spark.createDataFrame([(1, "license a\n\nlicense b\nc license")], TEXTS), licenses.LicenseParams()).filter("first < last").collect()
+    assert [(r["first"], r["last"], r["words"]) for r in broken] == [(2, 3, "license b c license")]
