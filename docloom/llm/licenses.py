@@ -11,15 +11,17 @@ calibrated by a temperature fitted on held-out variants, and a family below
 ``least`` is unknown.  A prediction counts once the paragraph also shares enough
 n-grams with a template of that family.
 
-Every paragraph is scored but those without any of the model's ``deciding_words``:
-the weights of all n-grams without them, added up, cannot make one a licence.
+Every paragraph is scored but those that lack the model's ``deciding_words``: the
+weights of all n-grams that they may hold, added up, cannot make one a licence.
+Texts without any of them are dropped by one pattern before they are split.
 
 The main path is DataFrame functions only: split, explode, a join with the
 weight table (its size is fixed by the templates, so it may be broadcast) and
 grouped sums.
 
 Defined cases: null, empty and word-less texts have no paragraph; every
-document gets one row, with family null where nothing was confirmed and
+document gets one row, long texts are read whole, and an empty table gives no
+rows.  Extra columns are ignored.  Family is null where nothing was confirmed and
 ``unknown`` where a paragraph reads as a licence but no family is certain.
 Repeated rows get a row each.  Ties go to the first family in order.  Around a
 break, a family counts where no line in reach is confirmed as it, and once per
@@ -34,9 +36,11 @@ from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+from ._util import Scratch
+
 OTHER, UNKNOWN = "other", "unknown"
 # Notices by which public licences are commonly stated.
 TEMPLATES = {
@@ -134,8 +138,13 @@ MENTIONS = (
     "This is a public domain of knowledge and the source of many stories.",
     "Which license should I choose for my own project?",
 )
-#: Every template but those that only name the GNU licences holds one of these words, as the start of a word.
-ANCHORS = "licens|licenc|unlicense|copyright|redistribut|permission|warrant|proprietary|reserved|cc0|domain"
+# Frequent words of English, German, French and Spanish; alone they speak for no licence, which the classifier learns from paragraphs of them.
+COMMON = (
+    "the of and in to a is that it be for as with by are this not or all from on at an was his her they you have had which we can if has but "
+    "their there been one who will would when no more my so up out them then she he its into than any only other some may these two do now over "
+    "such our me most after use work new also could many where well own how first between must each same part made while because even should "
+    "der die und das ist nicht mit von ein eine zu den im auf sich des dem le la les et un une est pas dans que pour avec sur el los las y en una es con para por"
+)
 _WORD = "[a-z0-9]+"
 
 
@@ -167,7 +176,8 @@ class LicenseModel:
 
 def _variants(p: LicenseParams) -> list[tuple[str, str]]:
     rng = np.random.default_rng(p.seed)
-    filler = re.findall(_WORD, " ".join(MENTIONS).lower())
+    filler, common = re.findall(_WORD, " ".join(MENTIONS).lower()), COMMON.split()
+    near = filler + common
     out = []
     for family, texts in [*TEMPLATES.items(), (OTHER, MENTIONS)]:
         for text in texts:
@@ -175,11 +185,13 @@ def _variants(p: LicenseParams) -> list[tuple[str, str]]:
             out.append((family, text))
             for _ in range(p.variants * (1 if family != OTHER else 3)):
                 kept = [w for w in words if rng.random() > 0.06] or words
-                extra = list(rng.choice(filler, rng.integers(0, 12)))
+                extra = list(rng.choice(near, rng.integers(0, 12)))
                 cut = int(rng.integers(0, len(extra) + 1))
                 out.append((family, " ".join([*extra[:cut], *kept, *extra[cut:]])))
     for _ in range(8 * p.variants):
         out.append((OTHER, " ".join(rng.choice(filler, rng.integers(3, 30)))))
+    for _ in range(20 * p.variants):
+        out.append((OTHER, " ".join(rng.choice(common, rng.integers(3, 60)))))
     return out
 
 
@@ -223,17 +235,15 @@ def train(p: LicenseParams = LicenseParams()) -> LicenseModel:
     return LicenseModel(families, tuple(round(float(v), 6) for v in b), weights, float(temperature))
 
 
-#: Tried first as words that decide nothing; the order changes what is skipped, not the result.
-_COMMON = "the of and in to a is on that it be for as with by are".split()
-
-
 @lru_cache(maxsize=4)
-def deciding_words(p: LicenseParams = LicenseParams()) -> tuple[str, ...]:
-    """Words without which a paragraph is certain to be of no family and not unknown either.
-
-    Of the other words' n-grams, those that speak for a family are added up as
-    if a paragraph held them all, family by family.  That bounds the odds of
-    all families together against ``OTHER``.
+def deciding_words(p: LicenseParams = LicenseParams()) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """The words that tell which paragraphs are certain to be of no family and not unknown either.
+
+    They are all those without any of the first words, and those with only one of
+    them that is not among the second.  Of the n-grams of the words that such a
+    paragraph may hold, those that speak for a family are added up as if it held
+    them all, family by family.  That bounds the odds of all families together
+    against ``OTHER``.
     """
     model = train(p)
     grams = [set(g.split()) for g in model.weights]
@@ -242,13 +252,23 @@ def deciding_words(p: LicenseParams = LicenseParams()) -> tuple[str, ...]:
     gain = np.maximum((w[:, :-1] - w[:, -1:]) / model.temperature, 0)
     base = (bias[:-1] - bias[-1]) / model.temperature
     most = min(p.least, p.licence, 0.5)
+    limit = 0.99 * most / (1 - most)
+    odds = lambda held: np.exp(base + gain[[g <= held for g in grams]].sum(0)).sum()
+    common = COMMON.split()
     words = sorted(set().union(*grams))
     idle: set[str] = set()
-    for word in sorted(words, key=lambda x: (_COMMON.index(x) if x in _COMMON else len(_COMMON), x)):
-        held = np.array([g <= idle | {word} for g in grams])
-        if np.exp(base + gain[held].sum(0)).sum() < 0.99 * most / (1 - most):
+    # frequent words are tried first, and leave room for one word more; neither changes the result
+    for word in sorted(words, key=lambda x: (common.index(x) if x in common else len(common), x)):
+        if odds(idle | {word}) < 0.1 * limit:
             idle.add(word)
-    return tuple(x for x in words if x not in idle)
+    first = tuple(x for x in words if x not in idle)
+    return first, tuple(x for x in first if odds(idle | {x}) >= limit)
+
+
+def _any_of(words: tuple[str, ...]) -> str:
+    """A pattern that finds any of the words, tried by their first letter."""
+    first = sorted({w[0] for w in words})
+    return "(?<![a-z0-9])(?:" + "|".join(f"{c}(?:" + "|".join(w[1:] for w in words if w[0] == c) + ")" for c in first) + ")(?![a-z0-9])"
 
 
 def words_of(text: Column) -> Column:
@@ -262,33 +282,52 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, p: LicenseParams, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Paragraphs that hold a deciding word: ``row, idkey, first, last, words``, the lines they are from and their words.
+    """Paragraphs that hold the deciding words: ``row, idkey, first, last, words``, the lines they are from and their words.
 
     ``row`` stands for a document's id and text; repeated rows repeat.  A line has ``first = last``.
     """
-    deciding = F.array(*(F.lit(w) for w in deciding_words(p)))
+    first, strong = deciding_words(p)
+    one, two = F.array(*(F.lit(w) for w in strong)), F.array(*(F.lit(w) for w in first))
+    hopeful = lambda words: F.arrays_overlap(words, one) | (F.size(F.array_intersect(words, two)) > 1)
     longest = max(len(re.findall(_WORD, t.lower())) for texts in TEMPLATES.values() for t in texts)
     reach = 2 * longest  # every line within a paragraph has a word, so at least half of this are words
-    rows = _rows(docs, id_col, text_col).filter(F.col("text") != "")
-    rows = rows.select("row", "idkey", F.transform(F.split("text", "\\R"), words_of).alias("lines"))
-    lines = rows.select("row", "idkey", F.posexplode("lines").alias("first", "words")).filter(F.arrays_overlap("words", deciding))
-    lines = lines.select("row", "idkey", "first", F.col("first").alias("last"), F.array_join("words", " ").alias("words"))
-    # a mark ends every line; two in a row are a line without words
-    flat = rows.filter(F.size("lines") > 1).select("row", "idkey", F.flatten(F.transform("lines", lambda x: F.concat(x, F.array(F.lit("\n"))))).alias("flat"))
-    breaks = flat.select("row", "idkey", "flat", F.posexplode(F.filter(F.transform("flat", lambda w, i: F.when(w == "\n", i + 1)), lambda i: i.isNotNull())).alias("line", "at"))
-    before = F.slice("flat", F.greatest(F.lit(1), F.col("at") - reach), F.least(F.lit(reach), F.col("at") - 1))
-    after = F.slice("flat", F.col("at") + 1, F.lit(reach))
-    breaks = breaks.select("row", "idkey", "line", before.alias("before"), after.alias("after")).filter(F.arrays_overlap("before", deciding) | F.arrays_overlap("after", deciding))
+    kind = "array<struct<line:int,before:array<string>,after:array<string>>>"
+
+    def of_lines(lines: Column) -> Column:
+        each = F.transform(lines, lambda w, i: F.struct(i.alias("line"), w.alias("before"), F.lit(None).cast("array<string>").alias("after")))
+        return F.filter(each, lambda x: hopeful(x["before"])).cast(kind)
+
+    def of_breaks(flat: Column) -> Column:
+        def around(at: Column, line: Column) -> Column:
+            before = F.slice(flat, F.greatest(F.lit(1), at - reach), F.least(F.lit(reach), at - 1))
+            return F.struct(line.alias("line"), before.alias("before"), F.slice(flat, at + 1, F.lit(reach)).alias("after"))
+
+        breaks = F.filter(F.transform(flat, lambda w, i: F.when(w == "\n", i + 1)), lambda i: i.isNotNull())
+        return F.filter(F.transform(breaks, around), lambda b: hopeful(F.concat(b["before"], b["after"]))).cast(kind)
+
+    def of_text(lines: Column) -> Column:
+        # a mark ends every line; two in a row are a line without words
+        flat = F.flatten(F.transform(lines, lambda x: F.concat(x, F.array(F.lit("\n")))))
+        return F.concat(of_lines(lines), F.when(hopeful(F.flatten(lines)) & (F.size(lines) > 1), let(flat, of_breaks)).otherwise(F.array().cast(kind)))
+
+    rows = _rows(docs, id_col, text_col).filter(F.lower("text").rlike(_any_of(first)))
+    # one pass over a text, from which only the hopeful lines and the words around hopeful breaks leave;
+    # the outer form keeps the optimiser from evaluating the pass twice
+    found = let(F.transform(F.split("text", "\\R"), words_of), of_text)
+    found = rows.select("row", "idkey", F.explode_outer(found).alias("b")).filter("b is not null").select("row", "idkey", "b.*")
+    a_line = F.col("after").isNull()
     before = F.regexp_replace(F.concat(F.array_join("before", " "), F.lit(" ")), r"(?s)^.*\n $|^.*\n (?=\n )", "")
     after = F.regexp_replace(F.concat(F.lit(" "), F.array_join("after", " ")), r"(?s)^ \n.*| \n(?= \n).*", "")
     # the nearest words, with the marks between them
     near = lambda c, regex: F.regexp_extract(c, regex, 0)
-    breaks = breaks.select("row", "idkey", "line", near(before, rf"(?<![a-z0-9])(?:[a-z0-9]+ (?:\n )*){{0,{longest}}}$").alias("before"), near(after, rf"^(?:(?: \n)* [a-z0-9]+){{0,{longest}}}").alias("after"))
-    breaks = breaks.filter("trim(before) <> '' and trim(after) <> ''")
+    before = F.when(a_line, F.array_join("before", " ")).otherwise(near(before, rf"(?<![a-z0-9])(?:[a-z0-9]++ (?:\n )*+){{0,{longest}}}+$"))
+    after = F.when(a_line, "").otherwise(near(after, rf"^(?:(?: \n)*+ [a-z0-9]++){{0,{longest}}}+"))
+    found = found.select("row", "idkey", "line", a_line.alias("a_line"), before.alias("before"), after.alias("after"))
+    found = found.filter("a_line or (trim(before) <> '' and trim(after) <> '')")
     marks = lambda c: F.length(c) - F.length(F.replace(F.col(c), F.lit("\n"), F.lit("")))
-    words = F.array_join(words_of(F.concat("before", "after")), " ")
-    breaks = breaks.select("row", "idkey", (F.col("line") - marks("before")).alias("first"), (F.col("line") + 1 + marks("after")).alias("last"), words.alias("words"))
-    return lines.unionByName(breaks.filter(F.arrays_overlap(F.split("words", " "), deciding)))
+    words = words_of(F.concat("before", "after"))
+    found = found.select("row", "idkey", (F.col("line") - marks("before")).alias("first"), F.when(F.col("a_line"), F.col("line")).otherwise(F.col("line") + 1 + marks("after")).alias("last"), words.alias("words"))
+    return found.filter((F.col("first") == F.col("last")) | hopeful(F.col("words"))).withColumn("words", F.array_join("words", " "))
 
 
 def _spans(order: int) -> Column:
@@ -318,7 +357,9 @@ def classify(docs: DataFrame, p: LicenseParams = LicenseParams(), id_col: str =
     sizes = template.groupBy("family", "template").agg(F.count(F.lit(1)).alias("size"))
     lines = paragraphs(docs, p, id_col, text_col).withColumnRenamed("words", "line").withColumn("words", F.split("line", " "))
     key = ["row", "idkey", "first", "last", "line"]
-    grams = lines.select(*key, F.explode(F.concat(F.array(F.lit("")), _spans(p.order))).alias("gram"))
+    # n-grams without a weight go before they become rows
+    known = F.filter(_spans(p.order), lambda g: g.isin(list(model.weights)))
+    grams = lines.select(*key, F.explode(F.concat(F.array(F.lit("")), known)).alias("gram"))
     # both tables are fixed by the templates above: some hundred rows
     hits = grams.join(F.broadcast(weights), "gram")
     copies = F.sum((F.col("gram") == "").cast("int"))
@@ -344,7 +385,8 @@ def classify(docs: DataFrame, p: LicenseParams = LicenseParams(), id_col: str =
 
 def scan(docs: DataFrame, p: LicenseParams = LicenseParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: ``doc_id, family, probability, families, paragraphs`` (the surest confirmed family first)."""
-    found = classify(docs, p, id_col, text_col)
+    # the few paragraphs that state a licence are asked for three times: they are written once
+    found = Scratch(docs.sparkSession, "licences").table(classify(docs, p, id_col, text_col), "found")
     lines = found.filter("first = last").select("row", "idkey", F.col("first").alias("at"), F.col("family").alias("line_family"))
     # the lines that a paragraph around a break reaches
     near = found.filter("first < last").join(lines, ["row", "idkey"], "left").withColumn("within", F.coalesce(F.col("at").between(F.col("first"), F.col("last")), F.lit(False)))

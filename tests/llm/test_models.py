@@ -189,7 +189,6 @@ def test_licence_model_keeps_families_apart():
         for t in templates:
             score = np.array(model.bias) + sum((np.array(model.weights[g]) for g in licenses._grams(t, 3) if g in model.weights), np.zeros(len(model.families)))
             assert model.families[int(score.argmax())] == family
-            assert licenses.re.search(rf"(?i)(?<![a-z0-9])({licenses.ANCHORS})", t) or "GNU" in t
 
 
 def test_warc_records():

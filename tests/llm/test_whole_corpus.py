@@ -72,13 +72,15 @@ def test_every_paragraph_reaches_the_classifier(spark):
     p = licenses.LicenseParams()
     rng = np.random.default_rng(4)
     vocabulary = sorted({w for g in licenses.train(p).weights for w in g.split()})
-    idle = sorted(set(vocabulary) - set(licenses.deciding_words(p)))
+    first, strong = licenses.deciding_words(p)
+    idle, weak = sorted(set(vocabulary) - set(first)), sorted(set(first) - set(strong))
     texts = ["Available under CC BY 4.0", "Released under CC BY-SA 4.0", "Distributed under the GNU GPL v3 or later", "Dual MIT/Apache-2.0", "the man on the moon", *licenses.MENTIONS]
     texts += [" ".join(rng.choice(vocabulary, rng.integers(1, 20))) for _ in range(150)] + [" ".join(rng.choice(idle, rng.integers(1, 40))) for _ in range(100)] + [" ".join(idle)]
+    texts += [" ".join([w, *rng.choice(idle, 12)]) for w in weak]
     want = [_family(t, p) for t in texts]
     got = {r["doc_id"]: r["family"] for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), TEXTS)).collect()}
     assert [got[i] for i in range(len(texts))] == want
-    assert sum(w is not None for w in want[:4]) >= 2 and not any(want[-101:])
+    assert sum(w is not None for w in want[:4]) >= 2 and not any(want[-101 - len(weak) :])
 
 
 WRAPPED = {
@@ -98,3 +100,32 @@ def test_wrapped_notices(spark):
     assert got[6]["family"] != "mit" and got[7]["family"] == "mit" and got[7]["families"].count("mit") == 1
     broken = licenses.paragraphs(spark.createDataFrame([(1, "license a\n\nlicense b\nc license")], TEXTS), licenses.LicenseParams()).filter("first < last").collect()
     assert [(r["first"], r["last"], r["words"]) for r in broken] == [(2, 3, "license b c license")]
+
+
+#: Notices worded otherwise than the templates, and sentences that state no licence.
+HELD_OUT = [
+    ("mit", "The code is released under the terms of the MIT license"), ("mit", "This project is licensed under the MIT License - see the file"),
+    ("apache", "Licensed under the Apache License, Version 2.0, by its authors"), ("gpl", "This work is licensed under the GNU General Public License, version 3 or later."),
+    ("agpl", "It is licensed under the GNU Affero General Public License, version 3"), ("lgpl", "The work is licensed under the GNU Lesser General Public License, version 2.1 or newer"),
+    ("bsd", "Everything here is licensed under the BSD 3-Clause License"), ("mpl", "The files are subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("cc-by-sa", "Except where noted this work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"), ("cc-by-nc", "Photos are licensed under CC BY-NC 4.0"),
+    ("proprietary", "(c) 2019 Somebody. All rights reserved."), ("unlicense", "This is free and unencumbered software, released into the public domain by us."),
+    (None, "The council granted a license to the ferry under the new law"), (None, "all of the work that you may use is in the library"), (None, "Der Mann geht mit dem Hund in den Park"),
+    (None, "A public library and a free source of water for the village"), (None, "the driver found a file under the seat and no copy of it"), (None, "Terms of the general agreement were published by the foundation"),
+]
+
+
+def test_held_out_notices(spark):
+    """Every one of 18 paragraphs that the model was not trained on, alone and inside prose."""
+    prose = "a river ran past the old mill and on to the sea"
+    texts = [w for _, t in HELD_OUT for w in (t, f"{prose}\n{t}\n{prose}")]
+    got = {r["doc_id"]: r["family"] for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), TEXTS)).collect()}
+    want = [f for f, _ in HELD_OUT for _ in range(2)]
+    assert sum(got[i] == f for i, f in enumerate(want)) >= 32 and not any(got[i] for i, f in enumerate(want) if f is None), got
+
+
+def test_licences_in_a_very_long_text(spark):
+    lines = ["a river ran past the old mill and may use all of it under the bridge"] * 20_000
+    lines[13_000] = "Released under the MIT License."
+    got = licenses.scan(spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(lines[:13_000]))], TEXTS)).collect()
+    assert sorted((r["doc_id"], r["family"]) for r in got) == [(1, "mit"), (2, None)]
