@@ -243,9 +243,18 @@ def quality_ladder(v: Column, confidence: Column, name: Column) -> Column:
     return F.when(v.isNull(), 0.1).otherwise(F.least(score, F.lit(1.0)))
 
 
+# Log lines and markup in the output of a grounded reader.
+LOG_LINE = r"PATCHES:|torch\.Size"
+MARKUP = (r"<\|ref\|>|</ref>|<\|det\|>|</det>|<\|grounding\|>", r"\[\[\d+,\s*\d+,\s*\d+,\s*\d+\]\]")
+
+
 def clean_grounded(c: Column) -> Column:
     """Text of a grounded reader without its markup, log lines and blank lines."""
-    t = F.regexp_replace(c, r"(?s)<\|ref\|>(.*?)<\|/ref\|>", "$1")
-    t = F.regexp_replace(t, r"(?s)<\|det\|>.*?<\|/det\|>", "")
-    lines = F.filter(F.transform(F.split(t, "\n"), strip), lambda x: (x != "") & ~x.startswith("=") & ~x.rlike("^(BASE|PATCHES|image size|valid image tokens)"))
-    return F.array_join(lines, "\n")
+
+    def clean(line: Column) -> Column:
+        for pattern in MARKUP:
+            line = F.regexp_replace(line, pattern, "")
+        return strip(line)
+
+    kept = F.filter(F.split(c, "\n"), lambda x: ~x.rlike(LOG_LINE))
+    return F.array_join(F.filter(F.transform(kept, clean), lambda x: x != ""), "\n")

@@ -12,9 +12,9 @@ import zlib
 import numpy as np
 
 # Hue (0-180), saturation and value ranges of seal colours.
-RED = (((0, 70, 50), (10, 255, 255)), ((160, 70, 50), (180, 255, 255)))
-BLUE = (((100, 70, 50), (130, 255, 255)),)
-BLACK = (((0, 0, 0), (180, 255, 50)),)
+RED = (((0, 100, 100), (10, 255, 255)), ((160, 100, 100), (180, 255, 255)))
+BLUE = (((100, 100, 100), (130, 255, 255)),)
+BLACK = (((0, 0, 0), (180, 50, 80)),)
 
 
 def decode_png(data: bytes) -> np.ndarray:
@@ -171,8 +171,8 @@ def color_mask(img: np.ndarray, ranges) -> np.ndarray:
 
 
 def color_score(img: np.ndarray) -> float:
-    """Largest share of red, blue or black pixels."""
-    return max(float(color_mask(img, r).mean()) for r in (RED, BLUE, BLACK))
+    """Share of the pixels that are red, blue or black."""
+    return float(color_mask(img, (*RED, *BLUE, *BLACK)).mean()) if img.size else 0.0
 
 
 def _outline(mask: np.ndarray) -> float:
@@ -192,37 +192,54 @@ def _fill(mask: np.ndarray) -> np.ndarray:
     return (outside != outside[0, 0])[1:-1, 1:-1]
 
 
-def shape_scores(img: np.ndarray) -> tuple[float, float]:
-    """Circularity (4 pi area / outline^2, 1 at most) and rectangularity (area / bounding box) of the largest dark part."""
-    mask = grey(img) <= otsu(img)
+def contour_area(part: np.ndarray) -> float:
+    """Area inside the outline through the centres of a filled part's boundary pixels."""
+    p = np.pad(part, 1)
+    inner = p[1:-1, 1:-1] & p[:-2, 1:-1] & p[2:, 1:-1] & p[1:-1, :-2] & p[1:-1, 2:]
+    return max(0.0, float(part.sum()) - float((part & ~inner).sum()) / 2 - 1)
+
+
+def _parts(mask: np.ndarray):
+    """Per connected part: its box, its pixels with holes filled, and its contour area."""
     labels, n = label(mask)
     if not n:
-        return 0.0, 0.0
-    part = _fill(labels == 1 + int(np.bincount(labels.ravel(), minlength=n + 1)[1:].argmax()))
-    ys, xs = np.nonzero(part)
-    part = part[ys.min() : ys.max() + 1, xs.min() : xs.max() + 1]
-    area, around = float(part.sum()), _outline(part)
-    circle = min(1.0, 4 * np.pi * area / around**2) if around else 0.0
-    return circle, area / part.size
+        return
+    ys, xs = np.nonzero(labels)
+    own = labels[ys, xs]
+    by = np.argsort(own, kind="stable")
+    for at in np.split(by, np.flatnonzero(np.diff(own[by])) + 1):
+        y, x = ys[at], xs[at]
+        box = [int(x.min()), int(y.min()), int(np.ptp(x) + 1), int(np.ptp(y) + 1)]
+        part = np.zeros((box[3], box[2]), bool)
+        part[y - box[1], x - box[0]] = True
+        part = _fill(part)
+        yield box, part, contour_area(part)
 
 
-def _boxes(mask: np.ndarray):
-    labels, n = label(mask)
-    for i in range(1, n + 1):
-        ys, xs = np.nonzero(labels == i)
-        yield [int(xs.min()), int(ys.min()), int(np.ptp(xs) + 1), int(np.ptp(ys) + 1)]
+def shape_scores(img: np.ndarray) -> tuple[float, float]:
+    """Circularity (4 pi area / outline^2, 1 at most) and rectangularity (area / bounding box) of the largest bright part.
+
+    The bright side of the threshold counts, as documented: a dark seal on white
+    paper is measured by the paper around it.
+    """
+    largest = max(_parts(grey(img) > otsu(img)), key=lambda found: found[2], default=None)
+    if largest is None:
+        return 0.0, 0.0
+    _, part, area = largest
+    around = _outline(part)
+    return (min(1.0, 4 * np.pi * area / around**2) if around else 0.0), area / part.size
 
 
 def signature_boxes(img: np.ndarray, most: int = 5) -> list[list[int]]:
-    """Boxes of edge contours of plausible size and shape for a signature."""
+    """Boxes of edge contours of plausible area and shape for a signature."""
     total = img.shape[0] * img.shape[1]
-    return [b for b in _boxes(edges(img)) if 0.001 < b[2] * b[3] / total < 0.15 and 1.5 < b[2] / b[3] < 8][:most]
+    return [b for b, _, area in _parts(edges(img)) if 0.001 < area / total < 0.15 and 1.5 < b[2] / b[3] < 8][:most]
 
 
 def stamp_boxes(img: np.ndarray, most: int = 3) -> list[list[int]]:
-    """Boxes of red or blue parts of plausible size for a seal."""
+    """Boxes of red or blue parts of plausible area for a seal."""
     total = img.shape[0] * img.shape[1]
-    return [b for b in _boxes(color_mask(img, (*RED, *BLUE))) if 0.002 < b[2] * b[3] / total < 0.10][:most]
+    return [b for b, _, area in _parts(color_mask(img, (*RED, *BLUE))) if 0.002 < area / total < 0.10][:most]
 
 
 def crop(img: np.ndarray, box: list[int], padding: float = 0.0, most: int | None = None) -> np.ndarray:

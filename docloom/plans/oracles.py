@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..config import DEALERS, FIELDS
-from ..functions.text import BRANDS, COST_AT, CURRENCY, DEALER_AT, HP_ONE, HP_RANGE, MISREAD, MODEL_AT, NATIVE, READ, SUFFIXES
+from ..functions.text import BRANDS, COST_AT, CURRENCY, DEALER_AT, HP_ONE, HP_RANGE, MARKUP, MISREAD, MODEL_AT, NATIVE, READ, SUFFIXES
 from ..functions.text import ASCII as DIGITS
 from .tables import COMPONENTS
 
@@ -387,7 +387,7 @@ def oracle_sql() -> dict[str, str]:
         "dealer_prefilter": f"""{i}, {SELL}, {masters}, cand AS (SELECT v.raw AS a, ms.name AS b, pos FROM (SELECT DISTINCT unnest([a, b]) AS raw FROM sell) v, ms WHERE v.raw <> ''),
             {sort_ratio_ctes('cand', 'sc')}, lk AS (SELECT * FROM (SELECT cand.a AS raw, cand.b AS name, score, row_number() OVER (PARTITION BY cand.a ORDER BY score DESC, pos) AS r FROM cand JOIN sc USING (a, b)) WHERE r = 1 AND score >= 90)
             SELECT doc_id, coalesce(x.name, y.name) AS locked, CASE WHEN x.name IS NOT NULL THEN x.score ELSE y.score END / 100::DOUBLE AS locked_confidence FROM sell LEFT JOIN lk x ON sell.b = x.raw LEFT JOIN lk y ON sell.a = y.raw""",
-        "clean_grounded": f"{i} SELECT doc_id, dealer || chr(10) || model AS text FROM inv",
+        "clean_grounded": f"{i}, g AS (SELECT doc_id, CASE WHEN k % 2 = 0 THEN '=====' || chr(10) || 'BASE: torch.Size([1, 256])' || chr(10) || 'PATCHES: 4' || chr(10) ELSE 'image size: 3' || chr(10) END || '<|ref|>' || dealer || '</ref><|det|>[[1, 2,3,4]]</det>' || chr(10) || chr(10) || '  <|grounding|>' || model || '  ' || chr(10) || chr(9) || chr(10) || 'size' AS raw FROM inv) SELECT doc_id, array_to_string(list_filter(list_transform(list_filter(string_split(raw, chr(10)), lambda x: NOT contains(x, 'PATCHES:') AND NOT contains(x, 'torch.Size')), lambda x: {strip(f"regexp_replace(regexp_replace(x, {q(MARKUP[0])}, '', 'g'), {q(MARKUP[1])}, '', 'g')")}), lambda x: x <> ''), chr(10)) AS text FROM g",
         "normalize_text": f"SELECT doc_id, md5({normal_text(ascii_('text'))}) AS digest FROM documents",
         "number_text": f"{i}, {AMOUNT} SELECT doc_id, {plain_number('raw')} AS plain, {undone('raw')} AS undone FROM amt",
         "quality_pipeline": f"WITH c AS (SELECT conv_id, turn, substr({ascii_('text')}, 1, 120) AS v FROM conversations) SELECT conv_id, turn, {q_pipe('v', '0.8::DOUBLE')} AS score FROM c",

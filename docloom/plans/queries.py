@@ -129,7 +129,8 @@ def dealer_prefilter(spark, sf_dir):
 
 @query
 def clean_grounded(spark, sf_dir):
-    raw = F.concat(F.lit("=====\nBASE: 640\n<|ref|>"), "dealer", F.lit("<|/ref|><|det|>[[1,2,3,4]]<|/det|>\n\n  "), "model", F.lit("  \nimage size: 3"))
+    head = F.when(F.col("k") % 2 == 0, "=====\nBASE: torch.Size([1, 256])\nPATCHES: 4\n").otherwise("image size: 3\n")
+    raw = F.concat(head, F.lit("<|ref|>"), "dealer", F.lit("</ref><|det|>[[1, 2,3,4]]</det>\n\n  <|grounding|>"), "model", F.lit("  \n\t\nsize"))
     return tables.invoices(spark, sf_dir).select("doc_id", text.clean_grounded(raw).alias("text"))
 
 
@@ -505,8 +506,9 @@ def mock_invoices(spark, sf_dir):
 
 @query
 def image_metrics(spark, sf_dir):
-    """Metrics of drawn pages, one per nation."""
-    ids = tables.read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("doc_id"))
-    return detection.image_metrics(synthetic.draw(synthetic.marks(ids)))
+    """Metrics of drawn marks, for every supplier."""
+    ids = tables.read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("doc_id"))
+    marks = synthetic.draw_marks(synthetic.marks(ids))
+    return detection.image_metrics(marks.select(F.concat_ws(":", "doc_id", "class_name").alias("doc_id"), "content"))
 
 

@@ -49,6 +49,21 @@ def draw(marked: DataFrame, seed: int = 0, augmented: bool = False) -> DataFrame
     return marked.orderBy("class_name").groupBy("doc_id").applyInPandas(page, "doc_id string, content binary")
 
 
+def draw_marks(marked: DataFrame, seed: int = 0) -> DataFrame:
+    """PNG crops ``doc_id, class_name, content`` of the marks of ``plan`` that are present; no shuffle."""
+
+    def crops(batches):
+        for b in batches:
+            rows = []
+            for doc, name, box in zip(b["doc_id"], b["class_name"], b["bbox"], strict=True):
+                rng = np.random.default_rng((seed, int(doc)))
+                mark = vision.draw_signature(rng, box[2], box[3]) if name == "signature" else vision.draw_stamp(rng, box[2])
+                rows.append((str(doc), name, vision.encode_png(mark)))
+            yield pd.DataFrame(rows, columns=["doc_id", "class_name", "content"])
+
+    return marked.filter("present").select("doc_id", "class_name", "bbox").mapInPandas(crops, "doc_id string, class_name string, content binary")
+
+
 def write(spark: SparkSession, path: str, count: int = 100, signatures: bool = True, stamps: bool = True, seed: int = 0) -> None:
     """Pages (Parquet with PNG bytes) and annotations (JSON lines)."""
     marked = plan(spark, count, signatures, stamps)

@@ -51,7 +51,8 @@ def test_extraction_and_cleaning(one):
     assert [g["value"] for g in got] == ["ABC Motors", "Mahindra 575 DI", 45, 450000]
     rupees = F.lit("Total Amount: Rs. 500000")
     assert one(text.extract(rupees, "asset_cost")["value"], text.extract(rupees, "asset_cost", strict=False)["value"]) == [None, 500000]
-    assert one(text.clean_grounded(F.lit("=====\n<|ref|>x<|/ref|><|det|>[[1]]<|/det|>\n\n y "))) == ["x\ny"]
+    grounded = "=====\nBASE: torch.Size([1, 256])\nPATCHES: 3\n<|ref|>x</ref><|det|>[[1, 2,3,4]]</det>\n\n<|grounding|> y \nimage size: [[1]]"
+    assert one(text.clean_grounded(F.lit(grounded))) == ["=====\nx\ny\nimage size: [[1]]"]
 
 
 def test_similarity(one):

@@ -184,10 +184,22 @@ def test_pixels():
     red[..., 0] = 200
     assert vision.color_score(red) > 0.5 and vision.color_score(red[..., ::-1]) > 0.5
     y, x = np.mgrid[:100, :100]
-    assert vision.shape_scores(np.where((x - 50) ** 2 + (y - 50) ** 2 <= 1600, 0, 255).astype(np.uint8))[0] > 0.7
-    frame = np.full((100, 100), 255, np.uint8)
-    frame[20:80, 10:90] = 0
+    disc = np.where((x - 50) ** 2 + (y - 50) ** 2 <= 1600, 255, 0).astype(np.uint8)
+    assert vision.shape_scores(disc)[0] > 0.85
+    # a dark disc is measured by the bright frame around it, which is a square
+    assert abs(vision.shape_scores(255 - disc)[0] - np.pi / 4) < 0.01 and vision.shape_scores(255 - disc)[1] > 0.95
+    frame = np.zeros((100, 100), np.uint8)
+    frame[20:80, 10:90] = 255
     assert vision.shape_scores(frame)[1] > 0.8
+    # the outline runs through pixel centres: a 60 by 80 block has 59 by 79
+    assert [(b, a) for b, _, a in vision._parts(frame > 0)] == [([10, 20, 80, 60], 59.0 * 79.0)]
+    pale = np.full((50, 50, 3), 255, np.uint8)
+    pale[:25] = (200, 170, 170)
+    pale[25:30], pale[30:40] = (200, 0, 0), (20, 20, 20)
+    assert abs(vision.color_score(pale) - 15 / 50) < 1e-9
+    ring = np.full((100, 100, 3), 255, np.uint8)
+    ring[(np.hypot(x - 50, y - 50) < 12)] = (180, 0, 0)
+    assert vision.stamp_boxes(ring) == [[39, 39, 23, 23]]
     noise = np.random.default_rng(0).integers(0, 256, (7, 9, 3)).astype(np.uint8)
     assert (vision.decode_png(vision.encode_png(noise)) == noise).all()
     with pytest.raises(ValueError):
