@@ -3,29 +3,35 @@
 Every document gets ``sketches`` sketches.  For each, the ``ell`` smallest
 occurrence-labelled shingles under one permutation are sampled and kept *in
 text order*, which makes a shared sketch evidence of small edit distance and
-not only of shared vocabulary.  Documents that share a sketch are candidates;
-a banded bit-parallel alignment of their words decides.
+not only of shared vocabulary.  Texts of ``short`` words or fewer get ``singles``
+sketches of one shingle besides, as a single edit spoils most of their
+shingles.  Documents that share a sketch are candidates; a banded bit-parallel
+alignment of their words decides.
 
 Plan: texts are read once into narrow signatures (written to the shared
 folder); exact copies collapse to one representative per distinct word
 sequence; each sketch bucket links its members to the bucket's smallest
 member, which needs a grouped minimum and an equi-join, both linear in the
-rows; after alignment, buckets that still hold several components are compared
-across components in fixed-size blocks (an exact lower bound of the distance
-discards most pairs before they are aligned, and a pair is looked at in one
-bucket only), so that a chain of near copies whose middle was taken by another
-member is not lost.
+rows.  A member with many partners is copied once per ``block`` of them, so that
+no task holds all.  After alignment, buckets that still hold several components
+are compared across components in fixed-size blocks: large buckets by bands of
+length that overlap so that every pair within the similarity shares one, an
+exact lower bound of the distance discards most pairs before they are aligned,
+and a pair is looked at in one bucket only.  So a chain of near copies whose
+middle was taken by another member is not lost.
 
 Defined cases: words are lower-case runs of letters and digits.  Null, empty
 and word-less texts take no part: each row is its own class.  Texts with fewer
-words than a shingle use their whole word sequence as the only shingle.  Ties
-go to the smaller id.  Rows with equal ids share a class.  Rows with a null
-doc_id take no part in matching and keep a null class.  Other columns are
-ignored, whatever their names.
+words than a shingle use their whole word sequence as the only shingle.  Texts of
+any length are read whole.  Ties go to the smaller id.  Rows with equal ids share a
+class, and each of their texts finds its own partners.  Rows with a null doc_id
+take no part in matching and keep a null class.  An empty table gives no rows.
+Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,7 +49,9 @@ HIST = 64
 class OmhParams:
     shingle: int = 5
     ell: int = 2
-    sketches: int = 14
+    sketches: int = 40
+    singles: int = 24
+    short: int = 80
     similarity: float = 0.8
     block: int = 1024
     seed: int = 17
@@ -77,29 +85,42 @@ def _occurrence_labels(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def _sampled(labels: np.ndarray, shingles: np.ndarray, p: OmhParams, ell: int, first: int, many: int) -> np.ndarray:
+    """``many`` sketches from ``first`` on: the ``ell`` smallest shingles of each permutation, in text order."""
+    rng = np.random.default_rng(p.seed + first)
+    factors = rng.integers(0, 1 << 63, many, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    shifts = rng.integers(0, 1 << 63, many, dtype=np.uint64)
+    out = np.arange(first, first + many, dtype=np.uint64)
+    ell = min(ell, len(labels))
+    step = max(1, (1 << 20) // len(labels))
+    for at in range(0, many, step):
+        part = slice(at, min(at + step, many))
+        v = (labels ^ shifts[part, None]) * factors[part, None]
+        rows = np.arange(len(v))
+        chosen = np.empty((len(v), ell), np.int64)
+        for j in range(ell):
+            chosen[:, j] = v.argmin(1)
+            v[rows, chosen[:, j]] = np.uint64(0xFFFFFFFFFFFFFFFF)
+        chosen.sort(1)
+        for j in range(ell):
+            out[part] = mix(out[part] * np.uint64(0x9FB21C651E98DF25) + shingles[chosen[:, j]])
+    return out
+
+
 def sketch(words: np.ndarray, p: OmhParams) -> np.ndarray:
-    """The order-preserving sketches of one document."""
+    """The order-preserving sketches of one document, then those of one shingle (0 for a text that is not short)."""
     shingles = _shingles(words, p.shingle)
     labels = _occurrence_labels(shingles)
-    rng = np.random.default_rng(p.seed)
-    factors = rng.integers(0, 1 << 63, p.sketches, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    shifts = rng.integers(0, 1 << 63, p.sketches, dtype=np.uint64)
-    out = np.empty(p.sketches, np.uint64)
-    for t in range(p.sketches):
-        v = (labels ^ shifts[t]) * factors[t]
-        if len(v) <= p.ell:
-            chosen = np.arange(len(v))
-        else:
-            chosen = np.empty(p.ell, np.int64)
-            for j in range(p.ell):
-                chosen[j] = v.argmin()
-                v[chosen[j]] = np.uint64(0xFFFFFFFFFFFFFFFF)
-            chosen.sort()
-        h = np.full(1, t, np.uint64)
-        for at in chosen:
-            h = mix(h * np.uint64(0x9FB21C651E98DF25) + shingles[at])
-        out[t] = h[0]
-    return out
+    more = _sampled(labels, shingles, p, 1, p.sketches, p.singles) if len(words) <= p.short else np.zeros(p.singles, np.uint64)
+    return np.concatenate([_sampled(labels, shingles, p, p.ell, 0, p.sketches), more])
+
+
+def _content(words: np.ndarray) -> tuple[int, int]:
+    """128 bits of a word sequence."""
+    at = np.arange(1, len(words) + 1, dtype=np.uint64)
+    h1 = mix(words * (at * np.uint64(2) + np.uint64(1))).sum(dtype=np.uint64)
+    h2 = mix(words ^ (at * np.uint64(0x9E3779B97F4A7C15))).sum(dtype=np.uint64)
+    return int(h1.view(np.int64)), int(h2.view(np.int64))
 
 
 def _histogram(words: np.ndarray) -> bytes:
@@ -121,10 +142,7 @@ def _sign(p: OmhParams):
                 words = word_hashes(text)
                 if not len(words):
                     continue
-                at = np.arange(1, len(words) + 1, dtype=np.uint64)
-                h1 = mix(words * (at * np.uint64(2) + np.uint64(1))).sum(dtype=np.uint64)
-                h2 = mix(words ^ (at * np.uint64(0x9E3779B97F4A7C15))).sum(dtype=np.uint64)
-                row = (doc, len(words), int(h1.view(np.int64)), int(h2.view(np.int64)), _histogram(words), sketch(words, p).view(np.int64).tolist())
+                row = (doc, len(words), *_content(words), _histogram(words), sketch(words, p).view(np.int64).tolist())
                 for c, v in zip(cols, row, strict=True):
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _SIGNATURE_ARROW, strict=True)], schema=_SIGNATURE_ARROW)
@@ -221,20 +239,28 @@ def _verify(p: OmhParams):
 
 
 def _align(pairs: DataFrame, texts: DataFrame, p: OmhParams) -> DataFrame:
-    """Links among candidate pairs ``(u, v)``; texts travel only for documents in a pair."""
+    """Links among candidate pairs ``(u, v)``; texts travel only for documents in a pair.
+
+    A ``v`` of many pairs is copied once per ``block`` of them.
+    """
+    crowd = pairs.groupBy("v").agg(F.ceil(F.count(F.lit(1)) / p.block).cast("int").alias("copies"))
     left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu"))
-    right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv"))
-    joined = pairs.join(left, "u").join(right, "v").select("u", "v", "tu", "tv")
+    right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv")).join(crowd, "v")
+    right = right.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    dealt = pairs.join(crowd, "v").withColumn("copy", F.pmod(F.xxhash64("u"), F.col("copies")).cast("int")).drop("copies")
+    joined = dealt.join(left, "u").join(right, ["v", "copy"]).select("u", "v", "tu", "tv")
     return joined.mapInArrow(_verify(p), _LINK)
 
 
-_WORDS = "doc_id long, words binary"
+_WORDS = "doc_id long, h1 long, h2 long, words binary"
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        words = [word_hashes(t).astype(np.uint32).tobytes() for t in strings(b.column(1))]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.binary())], names=["doc_id", "words"])
+        words = [word_hashes(t) for t in strings(b.column(1))]
+        both = [_content(w) for w in words]
+        h1, h2 = ([x[k] for x in both] for k in (0, 1))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array([w.astype(np.uint32).tobytes() for w in words], pa.binary())], names=["doc_id", "h1", "h2", "words"])
 
 
 def _link_blocks(p: OmhParams):
@@ -245,7 +271,7 @@ def _link_blocks(p: OmhParams):
     """
 
     def run(key, table):
-        t, one = key[0].as_py(), key[2].as_py() == key[3].as_py()
+        t, one = key[0].as_py(), key[3].as_py() == key[4].as_py()
         table = table.sort_by("doc_id")
         side, ids, n = (np.asarray(table[c]) for c in ("side", "doc_id", "n"))
         n = n.astype(np.int64)
@@ -261,7 +287,7 @@ def _link_blocks(p: OmhParams):
             if one:
                 ok &= right < a
             near = right[ok]
-            near = near[~(sk[near] == sk[a]).any(1)]
+            near = near[~((sk[near] == sk[a]) & (sk[a] != 0)).any(1)]
             if not len(near):
                 continue
             longer = np.maximum(n[near], n[a])
@@ -293,35 +319,48 @@ def near_duplicates(docs: DataFrame, p: OmhParams = OmhParams(), id_col: str = "
     content = ["n", "h1", "h2"]
     # min_by would carry the arrays of every copy; only the id travels, and sketches of equal texts are equal
     classes = signed.groupBy(*content).agg(F.min("doc_id").alias("rep"))
-    membership = scratch.table(signed.select("doc_id", *content).join(classes, content).select("doc_id", "rep").distinct(), "membership")
-    own = membership.filter("doc_id = rep").select("doc_id")
-    reps = scratch.table(signed.join(own, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "representatives")
-    buckets = reps.select("doc_id", F.posexplode("sk").alias("t", "key"))
-    shared = buckets.groupBy("t", "key").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("center")).filter("size > 1")
-    members = scratch.table(buckets.join(shared, ["t", "key"]).select("t", "key", "doc_id", "center", "size"), "members")
+    membership = signed.select("doc_id", *content).join(classes, content).groupBy("doc_id", "rep").agg(F.count(F.lit(1)).alias("rows"))
+    membership = scratch.table(membership, "membership")
+    own = membership.filter("doc_id = rep").select("doc_id").distinct()
+    # an id with several texts keeps the signature of each
+    reps = scratch.table(signed.join(own, "doc_id", "left_semi").dropDuplicates(["doc_id", *content]), "representatives")
+    buckets = reps.select("doc_id", "n", F.posexplode("sk").alias("t", "key")).filter("key <> 0")
+    shared = buckets.groupBy("t", "key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("doc_id", "n")).alias("center")).filter("size > 1")
+    members = scratch.table(buckets.join(shared, ["t", "key"]).select("t", "key", "doc_id", "n", "center"), "members")
     rep_texts = texts.join(own, "doc_id", "left_semi")
-    star = members.filter("doc_id <> center").select(F.col("doc_id").alias("u"), F.col("center").alias("v")).distinct()
-    links = scratch.table(_align(star, rep_texts, p), "star-links")
+    if membership.filter("rows > 1").limit(1).count():
+        rep_texts = rep_texts.dropDuplicates(["doc_id", "text"])
+    # texts of unlike lengths cannot be similar
+    alike = F.least("n", "center.n") >= F.lit(p.similarity) * F.greatest("n", "center.n") - 1e-9
+    star = members.filter((F.col("doc_id") != F.col("center.doc_id")) & alike).select(F.col("doc_id").alias("u"), F.col("center.doc_id").alias("v")).distinct()
+    links = scratch.table(_align(scratch.table(star, "star"), rep_texts, p), "star-links")
     # one hop is enough here: it only tells which pairs need no look
     label = links.groupBy(F.col("u").alias("doc_id")).agg(F.min("v").alias("component"))
-    known = members.select("t", "key", "doc_id").join(label, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    known = members.select("t", "key", "doc_id", "n").join(label, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     known = scratch.table(known, "known")
     split = known.groupBy("t", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("rows")).filter("lo <> hi and rows > 2")
-    split = split.select("t", "key", F.ceil(F.col("rows") / p.block).cast("int").alias("blocks"))
-    rest = scratch.table(known.join(split, ["t", "key"]), "rest")
+    # bands of two grids, twice as wide as the lengths of a similar pair may differ
+    width = 2 * math.log(1 / p.similarity) + 1e-6
+    at = F.log("n") / F.lit(width)
+    bands = F.when(F.col("rows") > p.block, F.array(2 * F.floor(at), 2 * F.floor(at + 0.5) + 1)).otherwise(F.array(F.lit(0).cast("long")))
+    rest = known.join(split.select("t", "key", "rows"), ["t", "key"]).select("t", "key", F.explode(bands).alias("band"), "doc_id", "n", "component")
+    rest = scratch.table(rest, "banded")
+    bucket = ["t", "key", "band"]
+    crowded = rest.groupBy(*bucket).agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count(F.lit(1)) / p.block).cast("int").alias("blocks"))
+    rest = scratch.table(rest.join(crowded.filter("lo <> hi").select(*bucket, "blocks"), bucket), "rest")
     open_ = rest.select("doc_id").distinct()
-    words = texts.join(open_, "doc_id", "left_semi").mapInArrow(_word_rows, _WORDS).groupBy("doc_id").agg(F.min("words").alias("words"))
-    detail = reps.join(open_, "doc_id", "left_semi").select("doc_id", "n", "hist", "sk").join(words, "doc_id")
-    rest = rest.join(detail, "doc_id").withColumn("b", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    words = texts.join(open_, "doc_id", "left_semi").mapInArrow(_word_rows, _WORDS).groupBy("doc_id", "h1", "h2").agg(F.min("words").alias("words"))
+    detail = reps.join(open_, "doc_id", "left_semi").join(words, ["doc_id", "h1", "h2"]).select("doc_id", "n", "hist", "sk", "words")
+    rest = rest.join(detail, ["doc_id", "n"]).withColumn("b", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     placed = rest.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select(
-        "t", "key", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), (F.col("b") > F.col("o")).cast("int").alias("side"), "doc_id", "component", "n", "hist", "sk", "words"
+        *bucket, F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), (F.col("b") > F.col("o")).cast("int").alias("side"), "doc_id", "component", "n", "hist", "sk", "words"
     )
-    more = placed.groupBy("t", "key", "i", "j").applyInArrow(_link_blocks(p), _LINK)
+    more = placed.groupBy(*bucket, "i", "j").applyInArrow(_link_blocks(p), _LINK)
     links = scratch.table(links.unionByName(more), "links")
     parts = connected_components(links, scratch).withColumnRenamed("id", "rep")
     # repeated ids may carry different texts: they share the smallest of their classes
-    found = membership.join(parts, "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("class_id"))
+    found = membership.drop("rows").join(parts, "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("class_id"))
     ids = texts.select("doc_id")
     out = ids.join(found, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
     return out.withColumn("kept", F.coalesce(F.col("class_id") == F.col("doc_id"), F.lit(True)))
@@ -330,8 +369,11 @@ def near_duplicates(docs: DataFrame, p: OmhParams = OmhParams(), id_col: str = "
 def keep_one(docs: DataFrame, p: OmhParams = OmhParams()) -> DataFrame:
     """``docs`` without the documents whose near-duplicate class another one stands for.
 
-    Exact repeats of the kept id collapse to one row.  Rows with a null doc_id stay.
+    Rows of a kept id with equal texts collapse to the one with the smallest other
+    columns; its other texts stay.  Rows with a null doc_id stay.
     """
     kept = near_duplicates(docs, p).filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    named = named.groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("o")).select("doc_id", "text", "o.*") if others else named.distinct()
+    return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))

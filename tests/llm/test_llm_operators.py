@@ -78,6 +78,33 @@ def test_a_chain_of_near_copies_is_one_class(spark):
     assert set(got.values()) == {0}
 
 
+def test_near_duplicates_agree_with_all_pairs(spark):
+    """Ties, ids with two texts, a passage in every text and blocks of a few rows; by brute force over all pairs."""
+    rng = np.random.default_rng(4)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = []
+    for i in range(60):
+        words = [f"w{i // 4}_{j}" for j in range(120)] if i % 2 else [f"w{i // 4}_{j}" for j in range(30)]
+        for at in rng.choice(len(words), len(words) // 20, replace=False):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, f"{passage} {' '.join(words)}" if i % 3 else " ".join(words)))
+    rows += [(0, "another text under the same id that is near the next one by far"), (70, "another text under the same id that is near the next one by now"), (0, rows[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hashed = [(i, omh.word_hashes(t)) for i, t in rows]
+    root = {i: i for i, _ in rows}
+    for i, a in hashed:
+        for j, b in hashed:
+            if i != j and omh.similar(a, b, 0.8) is not None and root[i] != root[j]:
+                lo, hi = sorted((root[i], root[j]))
+                root = {k: lo if r == hi else r for k, r in root.items()}
+    for p in (omh.OmhParams(), omh.OmhParams(block=4)):
+        got = {r["doc_id"]: r["class_id"] for r in omh.near_duplicates(docs, p).collect()}
+        assert got == root
+    # both texts of the kept id stay, the repeated row and the near copy go
+    kept = [tuple(r) for r in omh.keep_one(docs).filter("doc_id in (0, 70)").collect()]
+    assert sorted(kept) == sorted(set(r for r in rows if r[0] == 0))
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(120, 6)).astype(np.float32)
