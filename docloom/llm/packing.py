@@ -2,17 +2,23 @@
 
 Texts are tokenised with a published byte-level BPE vocabulary and end with
 token 0.  Whole windows of a document are sequences of their own.  What is left
-of each document is packed by retrieval: a shard (the documents of one scan
-partition, cut where ``shard_docs`` or ``shard_tokens`` is reached) holds a
-BM25 inverted index over the complete token statistics of its documents; each
-seed takes its unused neighbours by score and fills its window greedily.  When
+of each document is packed by retrieval from a sharded BM25 index: each seed
+takes its unused neighbours by score and fills its window greedily.  When
 nothing fits the rest of a window, the best neighbour is cut and its remainder
 stays available, so every window but a shard's last is full.  The last one is
 cut to lengths that are powers of two, which need no padding.
 
-There is no shuffle: texts are read once and narrow piece rows leave the task.
-A task holds the tokens of one shard, two bytes each, however large the table
-or skewed its sources.  Sequence ids are ``partition * 2^32 + n``.
+A document is routed to a shard by its strongest term: the one with the largest
+BM25 weight under the document frequencies of the whole table, among those that
+another document holds too.  So related documents meet wherever they stand in
+the table, whatever its size and partitioning.  Terms with few documents share a
+shard; a term with more than a shard holds is split evenly over several.  Within
+a shard every shared term of the seed scores.
+
+Plan: tokens are written once to the shared folder (two bytes each) and shuffled
+once, by shard.  A task holds one shard: ``shard_docs`` documents or
+``shard_tokens`` tokens on average, or one document that is longer.  The driver
+sees one row per term of the vocabulary.  Sequence ids are ``shard * 2^32 + n``.
 
 Tokens equal those of the ``tokenizers`` file of the same vocabulary, the
 special token's string included; the rank file of that vocabulary is used
@@ -20,7 +26,9 @@ because it encodes about six times as fast.
 
 Defined cases: a null text is empty, an empty text is the single token 0, a
 null doc_id stays null, repeated rows are separate documents, and an empty
-table gives no pieces.  Ties in score go to the earlier row.
+table gives no pieces.  Texts of any length are packed whole.  Ties in score go
+to the earlier row, ties between terms to the smaller id.  Other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import strings
+from ._util import Scratch, mix, strings
 
 VOCABULARY = 50257
 
@@ -43,9 +51,8 @@ VOCABULARY = 50257
 class PackParams:
     window: int = 1024
     end: int = 0
-    shard_docs: int = 4096
-    shard_tokens: int = 8_000_000
-    query_terms: int = 16
+    shard_docs: int = 1024
+    shard_tokens: int = 2_000_000
     neighbours: int = 32
     k1: float = 1.2
     b: float = 0.75
@@ -79,45 +86,41 @@ def token_ids(text: str, p: PackParams) -> np.ndarray:
     return out
 
 
+def term_weights(doc: np.ndarray, mean: float, p: PackParams) -> tuple[np.ndarray, np.ndarray]:
+    """A document's terms in order, and their BM25 weights but for the inverse document frequency."""
+    t = np.sort(doc)
+    edge = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+    tf = np.diff(np.append(edge, len(t)))
+    return t[edge], tf * (p.k1 + 1) / (tf + p.k1 * (1 - p.b + p.b * len(doc) / mean))
+
+
+def idf(df: np.ndarray, n: int) -> np.ndarray:
+    return np.log1p((n - df + 0.5) / (df + 0.5))
+
+
 class Index:
     """A BM25 inverted index over the documents of one shard."""
 
     def __init__(self, docs: list[np.ndarray], p: PackParams):
         self.n = len(docs)
-        length = np.fromiter((len(d) for d in docs), np.float64, self.n)
-        norm = p.k1 * (1 - p.b + p.b * length / length.mean())
-        terms, owners, weights = [], [], []
-        for i, d in enumerate(docs):
-            t = np.sort(d)
-            edge = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-            tf = np.diff(np.append(edge, len(t)))
-            terms.append(t[edge])
-            owners.append(np.full(len(edge), i, np.int32))
-            weights.append((tf * (p.k1 + 1) / (tf + norm[i])).astype(np.float32))
-        self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in terms])])
-        self.terms = np.concatenate(terms)
-        owner, weight = np.concatenate(owners), np.concatenate(weights)
-        df = np.bincount(self.terms, minlength=1 << 16)
-        self.idf = np.log1p((self.n - df + 0.5) / (df + 0.5)).astype(np.float32)
-        weight *= self.idf[self.terms]
-        self.weights = weight
+        mean = sum(map(len, docs)) / self.n
+        found = [term_weights(d, mean, p) for d in docs]
+        sizes = [len(t) for t, _ in found]
+        self.offsets = np.concatenate([[0], np.cumsum(sizes)])
+        self.terms = np.concatenate([t for t, _ in found])
+        self.df = np.bincount(self.terms, minlength=1 << 16)
+        weight = np.concatenate([w for _, w in found]) * idf(self.df, self.n)[self.terms]
         by = np.argsort(self.terms, kind="stable")
-        self.owner, self.weight = owner[by], weight[by]
-        self.start = np.concatenate([[0], np.cumsum(df)])
-        self.k = p.query_terms
-        self.df = df
+        self.owner, self.weight = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[by], weight[by]
+        self.start = np.concatenate([[0], np.cumsum(self.df)])
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every document for the seed's strongest terms that another document shares."""
-        lo, hi = self.offsets[seed], self.offsets[seed + 1]
-        terms, w = self.terms[lo:hi], self.weights[lo:hi]
-        shared = self.df[terms] > 1
-        terms, w = terms[shared], w[shared]
-        if len(terms) > self.k:
-            terms = terms[np.argpartition(-w, self.k - 1)[: self.k]]
-        spans = [slice(self.start[t], self.start[t + 1]) for t in terms]
-        if not spans:
+        """BM25 of every document for all of the seed's terms that another document shares."""
+        terms = self.terms[self.offsets[seed] : self.offsets[seed + 1]]
+        terms = terms[self.df[terms] > 1]
+        if not len(terms):
             return np.zeros(self.n)
+        spans = [slice(self.start[t], self.start[t + 1]) for t in terms]
         return np.bincount(np.concatenate([self.owner[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), self.n)
 
 
@@ -193,37 +196,115 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 _NAMES = [f.split()[0] for f in SCHEMA.split(", ")]
 
 
+_TOKENS = "doc_id long, tokens binary"
+
+
+def _tokenise(p: PackParams):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [token_ids(t, p).tobytes() for t in strings(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["doc_id", "tokens"])
+
+    return run
+
+
+def _ids(column) -> list[np.ndarray]:
+    return [np.frombuffer(v, np.uint16) for v in column.to_pylist()]
+
+
+def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents per term of one partition; term -1 counts documents, term -2 tokens."""
+    df, docs, tokens = np.zeros(1 << 16, np.int64), 0, 0
+    for b in batches:
+        for d in _ids(b.column(0)):
+            df[np.unique(d)] += 1
+            docs, tokens = docs + 1, tokens + len(d)
+    held = np.flatnonzero(df)
+    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1, -2], held])), pa.array(np.concatenate([[docs, tokens], df[held]]))], names=["term", "n"])
+
+
+class Router:
+    """The strongest shared term of a document (-1 without one), under the frequencies of the whole table."""
+
+    def __init__(self, df: np.ndarray, docs: int, tokens: int, p: PackParams):
+        self.weight = np.where(df > 1, idf(df, docs), -1.0)
+        self.mean, self.p = tokens / max(1, docs), p
+
+    def term(self, doc: np.ndarray) -> int:
+        terms, w = term_weights(doc, self.mean, self.p)
+        w = w * self.weight[terms]
+        best = int(w.argmax())
+        return int(terms[best]) if w[best] > 0 else -1
+
+
+def _route(router: Router):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            docs = _ids(b.column(0))
+            yield pa.RecordBatch.from_arrays([pa.array([router.term(d) for d in docs], pa.int64()), pa.array([len(d) for d in docs], pa.int64())], names=["term", "n"])
+
+    return run
+
+
+def shards(term: np.ndarray, docs: np.ndarray, tokens: np.ndarray, p: PackParams) -> tuple[np.ndarray, np.ndarray]:
+    """Per routed term, its first shard and over how many it is split; small terms share one."""
+    parts = np.maximum(-(-docs // p.shard_docs), -(-tokens // p.shard_tokens))
+    first, now, held_docs, held_tokens = np.zeros(len(term), np.int64), 0, 0, 0
+    for i in range(len(term)):
+        fits = parts[i] == 1 and held_docs + docs[i] <= p.shard_docs and held_tokens + tokens[i] <= p.shard_tokens
+        if held_docs and not fits:
+            now, held_docs, held_tokens = now + 1, 0, 0
+        first[i] = now
+        if parts[i] > 1:
+            now += int(parts[i])
+        else:
+            held_docs, held_tokens = held_docs + int(docs[i]), held_tokens + int(tokens[i])
+    return first, parts
+
+
+def _deal(router: Router, first: np.ndarray, parts: np.ndarray):
+    """The rows with their shard; ``first`` and ``parts`` are by term, shifted by one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.array([router.term(d) for d in _ids(b.column(2))], np.int64) + 1
+            dealt = mix(np.asarray(b.column(0)).astype(np.uint64)) % np.maximum(parts[at], 1).astype(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(first[at] + dealt.astype(np.int64)), *b.columns], names=["shard", "row", "doc_id", "tokens"])
+
+    return run
+
+
 def _pack(p: PackParams):
-    def shard(ids: list, docs: list[np.ndarray], base: int) -> tuple[pa.RecordBatch, int]:
-        pieces = pack_shard(docs, p)
+    def run(key, table):
+        table = table.sort_by("row")
+        ids, docs, base = table["doc_id"].to_pylist(), _ids(table["tokens"]), key[0].as_py() << 32
         cols: list[list] = [[] for _ in _NAMES]
-        for i, start, length, seq, offset in pieces:
+        for i, start, length, seq, offset in pack_shard(docs, p):
             crc = zlib.crc32(docs[i][start : start + length].astype("<u4").tobytes())
             for c, v in zip(cols, (ids[i], start, length, crc, len(docs[i]), base + seq, offset), strict=True):
                 c.append(v)
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=_NAMES), 1 + max(s[3] for s in pieces)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        base = TaskContext.get().partitionId() << 32
-        ids, docs, tokens = [], [], 0
-        for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), strings(b.column(1)), strict=True):
-                ids.append(doc)
-                docs.append(token_ids(text, p))
-                tokens += len(docs[-1])
-                if len(docs) >= p.shard_docs or tokens >= p.shard_tokens:
-                    batch, used = shard(ids, docs, base)
-                    base += used
-                    yield batch
-                    ids, docs, tokens = [], [], 0
-        if docs:
-            yield shard(ids, docs, base)[0]
+        return pa.table([pa.array(c, pa.int64()) for c in cols], names=_NAMES)
 
     return run
 
 
 def pack(docs: DataFrame, p: PackParams = PackParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: which tokens of which document stand where in which sequence."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_pack(p), SCHEMA)
+    scratch = Scratch(docs.sparkSession, "packing")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    # the row number is fixed once it is written
+    rows = scratch.table(texts.mapInArrow(_tokenise(p), _TOKENS).withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "tokens"), "tokens")
+    counts = rows.select("tokens").mapInArrow(_document_frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    of = dict(zip(counts["term"].to_pylist(), counts["n"].to_pylist(), strict=True))
+    df = np.zeros(1 << 16, np.int64)
+    for term, n in of.items():
+        if term >= 0:
+            df[term] = n
+    router = Router(df, of.get(-1, 0), of.get(-2, 0), p)
+    # a row per term of the vocabulary at most
+    totals = rows.select("tokens").mapInArrow(_route(router), "term long, n long").groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("tokens")).orderBy("term").toArrow()
+    term, n, tokens = (totals[c].to_numpy() for c in ("term", "docs", "tokens"))
+    first, parts = np.zeros((1 << 16) + 1, np.int64), np.ones((1 << 16) + 1, np.int64)
+    first[term + 1], parts[term + 1] = shards(term, n, tokens, p)
+    dealt = rows.mapInArrow(_deal(router, first, parts), "shard long, row long, doc_id long, tokens binary")
+    return dealt.groupBy("shard").applyInArrow(_pack(p), SCHEMA)

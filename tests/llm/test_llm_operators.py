@@ -144,6 +144,22 @@ def test_packing(spark, tables):
     assert packing.pack(_empty(spark)[0]).count() == 0
 
 
+def test_related_documents_meet_wherever_they_stand(spark):
+    """Pairs with a word of their own, far apart in the table, share a window although the table is many shards."""
+    rng = np.random.default_rng(2)
+    common = ["river", "mill", "bridge", "road", "town", "field"]
+    rows = [(i, " ".join([*rng.choice(common, 30), *[f"zq{i % 40}xv"] * 6])) for i in range(80)]
+    rows += [(100 + i, "hot topic again and again " * 8) for i in range(60)] + [(200, "one long text " * 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = packing.pack(docs, packing.PackParams(window=128, shard_docs=16, shard_tokens=4000)).collect()
+    shard = {}
+    for r in got:
+        shard.setdefault(r["doc_id"], set()).add(r["sequence_id"] >> 32)
+    assert sum(bool(shard[i] & shard[i + 40]) for i in range(40)) >= 36
+    assert len({s for i in range(100, 160) for s in shard[i]}) >= 3 and len({s for v in shard.values() for s in v}) >= 8
+    assert sum(r["length"] for r in got) == sum(len(packing.token_ids(t, packing.PackParams())) for _, t in rows)
+
+
 def _components(ids, links):
     root = {i: i for i in ids}
     for _ in ids:

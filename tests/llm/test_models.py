@@ -115,6 +115,55 @@ def test_packing_prefers_related_documents():
     assert all(len(v) == 1 for v in by.values())
 
 
+def test_bm25_scores_by_the_formula():
+    """Every document's score for every seed, term by term over plain counts."""
+    p, rng = packing.PackParams(), np.random.default_rng(3)
+    docs = [rng.zipf(1.4, int(rng.integers(1, 120))).clip(1, 300).astype(np.uint16) for _ in range(25)]
+    index, mean = packing.Index(docs, p), sum(map(len, docs)) / len(docs)
+    for seed in range(25):
+        want = np.zeros(25)
+        for term in set(docs[seed].tolist()):
+            df = sum(term in d for d in docs)
+            if df > 1:
+                for i, d in enumerate(docs):
+                    tf = (d == term).sum()
+                    want[i] += np.log(1 + (25 - df + 0.5) / (df + 0.5)) * tf * (p.k1 + 1) / (tf + p.k1 * (1 - p.b + p.b * len(d) / mean))
+        assert np.allclose(index.scores(seed), want)
+
+
+def test_windows_take_the_best_unused_neighbours_in_order():
+    """Documents of one window against a plain greedy rule, where every document fits as a whole."""
+    p, rng = packing.PackParams(window=60, neighbours=3), np.random.default_rng(5)
+    docs = [rng.integers(1, 40, 20).astype(np.uint16) for _ in range(30)]
+    index, free, want = packing.Index(docs, p), set(range(30)), []
+    while free:
+        seed = min(free)
+        score = index.scores(seed)
+        near = sorted(free - {seed}, key=lambda i: (-score[i], i))[:2]
+        want.append([seed, *near])
+        free -= {seed, *near}
+    got = {}
+    for i, _, _, seq, _ in packing.pack_shard(docs, p):
+        got.setdefault(seq, []).append(i)
+    assert list(got.values()) == want
+
+
+def test_shards_are_bounded_and_cover_every_term():
+    p, rng = packing.PackParams(shard_docs=10, shard_tokens=100), np.random.default_rng(6)
+    docs = rng.integers(1, 25, 60)
+    tokens = docs * rng.integers(1, 12, 60)
+    first, parts = packing.shards(np.arange(60), docs, tokens, p)
+    size = {}
+    for i in range(60):
+        own = range(first[i], first[i] + parts[i])
+        assert docs[i] / parts[i] <= 10 and tokens[i] / parts[i] <= 100
+        for k in own:
+            size.setdefault(k, []).append(i)
+    for members in size.values():
+        assert len(members) == 1 or (docs[members].sum() <= 10 and tokens[members].sum() <= 100 and (parts[members] == 1).all())
+    assert sorted(size) == list(range(max(size) + 1))
+
+
 def test_tokens_equal_those_of_the_tokenizer_file():
     import public_tokenizers
     from tokenizers import Tokenizer
