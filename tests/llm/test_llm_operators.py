@@ -109,16 +109,18 @@ def test_top_k(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(120, 6)).astype(np.float32)
     rows = [(i, v.tolist(), 0.0) for i, v in enumerate(x)] + [(500, None, 0.0), (501, [1.0, None, 1.0, 1.0, 1.0, 1.0], 0.0), (502, [float("nan")] * 6, 0.0), (503, [float("inf")] * 6, 0.0), (504, [1.0], 0.0), (None, x[0].tolist(), 0.0), (60, x[60].tolist(), 0.0)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score double")
+    rows += [(600 + i, x[7].tolist(), 0.0) for i in range(150)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score double").withColumns({"x": F.lit("clash"), "row": F.lit(1), "b": F.lit(2), "qb": F.lit(None), "code": F.lit("c")})
     got = {}
-    for r in vafile.top_k(df, F.col("vec_id") % 20 == 0, vafile.VaParams(k=7, block=50, query_block=3)).collect():
+    for r in vafile.top_k(df, F.col("vec_id") % 20 == 0, vafile.VaParams(k=7, cells=8, block=50, query_block=3)).collect():
         got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
     z = np.floor(64 * x.astype(np.float64)).astype(int)
-    ids = [*range(120), 60]
-    for query in range(0, 120, 20):
-        want = sorted((-int(z[query] @ z[i]), i) for i in ids if i != query)[:7]
+    every = [*((i, z[i]) for i in [*range(120), 60]), *((600 + i, z[7]) for i in range(150))]
+    queries = [*range(0, 120, 20), *range(600, 750, 20)]
+    for query in queries:
+        want = sorted((-int(dict(every)[query] @ v), i) for i, v in every if i != query)[:7]
         assert [got[query][k] for k in range(1, 8)] == [(i, -s) for s, i in want]
-    assert set(got) == set(range(0, 120, 20))
+    assert set(got) == set(queries)
     assert vafile.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 

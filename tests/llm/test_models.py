@@ -192,16 +192,26 @@ def test_targets_and_quotas():
         assert last(got) == pytest.approx(last(want))
 
 
-def test_approximation_search_is_exact():
+def test_bounds_hold_and_keep_the_best():
+    """Every score lies within its bounds, and the candidates hold the best by score and id, with ties and equal rows."""
     rng = np.random.default_rng(2)
-    p = vafile.VaParams(k=5)
     x = rng.integers(-9, 9, (300, 8)).astype(float)
-    ids = rng.permutation(300)
-    for scale in (1.0, 1e9):
-        q, v, s = vafile.block_search(ids, x * scale, ids[:20], x[:20] * scale, p)
-        for own, one in zip(ids[:20], x[:20], strict=True):
-            want = sorted((-int(sum(int(a) * int(b) for a, b in zip(r * scale, one * scale, strict=True))), i) for i, r in zip(ids, x, strict=True) if i != own)[:5]
-            assert [(-c, b) for a, b, c in zip(q, v, s, strict=True) if a == own] == want
+    x[100:160] = x[7]
+    ids = np.sort(rng.permutation(900)[:300])
+    for count, scale in ((4, 1.0), (64, 1.0), (4, 1e9)):
+        y = x * scale
+        cells = vafile.Cells(vafile.cut_points(y, count), np.zeros((8, count)), np.zeros((8, count)))
+        codes = cells.code(y)
+        for d in range(8):
+            for c in np.unique(codes[:, d]):
+                cells.low[d, c], cells.high[d, c] = y[codes[:, d] == c, d].min(), y[codes[:, d] == c, d].max()
+        score = lambda a, b: sum(int(u) * int(v) for u, v in zip(a, b, strict=True))
+        for (own, keep, low, high), i in zip(vafile.candidates(ids, codes, ids[:20], y[:20], cells, 5, 1e11 if scale > 1 else 0.0), range(20), strict=True):
+            assert own == ids[i]
+            assert all(lo <= score(y[i], y[j]) <= hi for j, lo, hi in zip(keep, low, high, strict=True))
+            want = sorted((-score(y[i], y[j]), ids[j]) for j in range(300) if j != i)[:5]
+            assert sorted((-score(y[i], y[j]), ids[j]) for j in keep)[:5] == want
+            assert count == 4 or len(keep) == 5
 
 
 def test_multi_sequence_visits_cells_by_distance():
