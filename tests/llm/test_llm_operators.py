@@ -192,6 +192,34 @@ def test_embedding_links(spark):
     assert multi_index.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embedding_links_by_brute_force(spark):
+    """Text and long labels, floats, scaled and repeated vectors, and an id with two vectors: every link and component."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for g in range(12):
+        c = rng.normal(size=8)
+        for k in range(40):
+            rows.append((len(rows), (c + rng.normal(size=8) * 0.15).astype(np.float32).tolist(), f"label {g % 2}"))
+    rows += [(3, rows[300][1], "label 1"), (3, rows[3][1], "label 0"), (1000, [8 * x for x in rows[5][1]], "label 0"), (1001, [-0.0, *rows[6][1][1:]], "label 0"), (1002, [0.0, *rows[6][1][1:]], "label 0")]
+    x = np.array([v for _, v, _ in rows], np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    same = np.array([a[2] for a in rows])
+    link = (x @ x.T >= 0.93) & (same[:, None] == same) & ~np.eye(len(rows), dtype=bool)
+    root = np.arange(len(rows))
+    for _ in rows:
+        root = np.minimum(root, np.where(link, root, len(rows)).min(1))
+    least = {r: min(rows[i][0] for i in np.flatnonzero(root == r)) for r in set(root)}
+    want = sorted((r[0], int(link[i].sum()), least[root[i]], least[root[i]] == r[0]) for i, r in enumerate(rows))
+    p = multi_index.MultiIndexParams(rows_per_cell=16, block=16, recall=0.999)
+    for kind, shift in (("string", 0), ("long", 1 << 40)):
+        label = F.col("label") if kind == "string" else F.regexp_extract("label", "[0-9]", 0).cast("long") + shift
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string").withColumn("label", label)
+        got = sorted(tuple(r) for r in multi_index.near_duplicates(df, p).collect())
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert sum(g[1] for g in got) >= 0.98 * sum(w[1] for w in want) and all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
+        assert sum(g[2:] == w[2:] for g, w in zip(got, want, strict=True)) >= 0.98 * len(want)
+
+
 def test_toxicity(spark, tables):
     docs, labels, rows = tables
     got = toxicity.score(docs, labels).collect()
