@@ -6,16 +6,27 @@ headers of a record first and does not decode the payload of records that the
 predicates reject or whose payload is not asked for (option ``payload=false``).
 Each record is a gzip member of its own, as is usual; beside an archive lies
 the list of its members' lengths, so the rest of an unwanted member is not even
-inflated.  Plain ``.warc`` files are read as well and stepped through by
-Content-Length.  The writer puts one file per task attempt, rolled at
-``roll_mb``; the commit lists the files of the successful attempts in a
+inflated.  Archives of other writers are read as well: a file, or every ``.warc``
+and ``.warc.gz`` below a folder.  Those are stepped through by Content-Length; in
+compressed ones an unwanted payload is inflated but neither kept nor decoded, and
+members may hold one record or many.  The writer puts one file per task attempt,
+rolled at ``roll_mb``; the commit lists the files of the successful attempts in a
 manifest, so a retried task leaves no duplicates.  Paths go through
 ``pyarrow.fs``: local and shared folders, and remote stores it knows.
+
+Defined cases: header names are matched without regard to case, folded header
+lines are joined, and bytes that are no UTF-8 become the replacement character.
+Values with line breaks, control characters or outer white space are written as an
+encoded word and read back unchanged.  Payloads of any length are kept whole; a
+record is the unit of memory.  An empty table gives an archive without files.
+Other columns of ``pages`` are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import base64
 import gzip
+import io
 import json
 import re
 import sys
@@ -50,6 +61,8 @@ HEADER = {
     "refers_to": "WARC-Refers-To",
 }
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
+_ENCODED = re.compile(r"=\?utf-8\?b\?([A-Za-z0-9+/=]*)\?=", re.IGNORECASE)
+_COLUMN = {name.lower(): column for column, name in HEADER.items()}
 
 
 def _fs(path: str):
@@ -70,9 +83,16 @@ def _little(values: array) -> array:
     return values
 
 
-def _clean(value: str) -> str:
-    """A header value without characters that would end or split the header."""
-    return _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", value)
+def _written(value: str) -> str:
+    """A header value that neither ends nor splits the header; ``_value`` gives it back."""
+    if re.search(r"[\x00-\x1f\x7f\ud800-\udfff]", value) or value != value.strip(" ") or _ENCODED.fullmatch(value):
+        return f"=?utf-8?B?{base64.b64encode(value.encode('utf-8', 'surrogatepass')).decode()}?="
+    return value
+
+
+def _value(written: str) -> str:
+    found = _ENCODED.fullmatch(written)
+    return base64.b64decode(found[1]).decode("utf-8", "surrogatepass") if found else written
 
 
 def record_bytes(row: dict) -> bytes:
@@ -81,9 +101,9 @@ def record_bytes(row: dict) -> bytes:
     head = [b"WARC/1.1"]
     for column, name in HEADER.items():
         if row.get(column) is not None:
-            head.append(f"{name}: {_clean(row[column])}".encode())
+            head.append(f"{name}: {_written(row[column])}".encode())
     for name, value in sorted((row.get("headers") or {}).items()):
-        head.append(f"{_clean(name)}: {_clean(value or '')}".encode())
+        head.append(f"{_CONTROL.sub('-', name)}: {_written(value or '')}".encode())
     head.append(b"Content-Length: %d" % len(payload))
     return b"\r\n".join(head) + b"\r\n\r\n" + payload + b"\r\n\r\n"
 
@@ -153,10 +173,10 @@ def records(stream, wanted, with_payload: bool) -> Iterator[tuple[dict, bytes |
             continue
         if not line.startswith(b"WARC/"):
             raise ValueError(f"no record starts here: {line[:40]!r}")
-        headers: dict[str, str] = {}
+        lines = []
         while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
-            name, _, value = line.decode("utf-8").partition(":")
-            headers[name.strip()] = value.strip()
+            lines.append(line)
+        headers = fields(lines)
         length = int(headers["Content-Length"])
         if not wanted(headers):
             stream.seek(length, 1)
@@ -171,13 +191,29 @@ def records(stream, wanted, with_payload: bool) -> Iterator[tuple[dict, bytes |
             yield headers, None
 
 
+def fields(lines: list[bytes]) -> dict[str, str]:
+    """The named fields of a record's head, without its version line; known names in their usual case."""
+    out: dict[str, str] = {}
+    name = ""
+    for line in lines:
+        text = line.decode("utf-8", "replace").rstrip("\r\n")
+        if text[:1] in (" ", "\t") and name:
+            out[name] += " " + text.strip(" \t")
+            continue
+        name, _, value = text.partition(":")
+        name = name.strip()
+        name = HEADER[_COLUMN[name.lower()]] if name.lower() in _COLUMN else "Content-Length" if name.lower() == "content-length" else name
+        out[name] = value.strip(" \t")
+    if "Content-Length" not in out:
+        raise ValueError("a record states no Content-Length")
+    return {k: _value(v) for k, v in out.items()}
+
+
 def _headers(block: bytes) -> dict[str, str]:
-    """The named fields of a record's head, whose first line is the version."""
     lines = block.split(b"\r\n")
     if not lines[0].startswith(b"WARC/"):
         raise ValueError(f"no record starts here: {lines[0][:40]!r}")
-    pairs = (line.decode("utf-8").partition(":") for line in lines[1:] if line)
-    return {name.strip(): value.strip() for name, _, value in pairs}
+    return fields(lines[1:])
 
 
 def member_records(stream, lengths: array, wanted, with_payload: bool) -> Iterator[tuple[dict, bytes | None]]:
@@ -226,24 +262,34 @@ class WarcReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list:
+        """The files of the manifest, or without one every archive below the path, or the path itself."""
+        import pyarrow.fs as pf
+
         fs, base = _fs(self.path)
-        with fs.open_input_stream(f"{base}/{MANIFEST}") as f:
-            return [_File(name) for name in json.loads(f.read())]
+        if fs.get_file_info(f"{base}/{MANIFEST}").type == pf.FileType.File:
+            with fs.open_input_stream(f"{base}/{MANIFEST}") as f:
+                return [_File(f"{base}/{name}") for name in json.loads(f.read())]
+        if fs.get_file_info(base).type == pf.FileType.File:
+            return [_File(base)]
+        found = fs.get_file_info(pf.FileSelector(base, recursive=True))
+        return [_File(name) for name in sorted(x.path for x in found if x.type == pf.FileType.File) if name.lower().endswith((".warc", ".warc.gz"))]
 
     def read(self, partition) -> Iterator[tuple]:
-        import io
+        import pyarrow.fs as pf
 
         if partition is None:
             return
-        fs, base = _fs(self.path)
+        fs, _ = _fs(self.path)
         wanted = lambda headers: all(headers.get(name) in values for name, values in self.equal)
-        with fs.open_input_file(f"{base}/{partition.file}") as raw:
+        with fs.open_input_file(partition.file) as raw:
             stream = io.BufferedReader(_Raw(raw), 1 << 18)
-            if partition.file.endswith(".gz"):
-                with fs.open_input_stream(f"{base}/{partition.file}{LENGTHS}") as side:
+            if not partition.file.lower().endswith(".gz"):
+                found = records(stream, wanted, self.payload)
+            elif fs.get_file_info(partition.file + LENGTHS).type == pf.FileType.File:
+                with fs.open_input_stream(partition.file + LENGTHS) as side:
                     found = member_records(stream, _little(array("Q", side.read())), wanted, self.payload)
             else:
-                found = records(stream, wanted, self.payload)
+                found = records(io.BufferedReader(gzip.GzipFile(fileobj=stream), 1 << 18), wanted, self.payload)
             for headers, payload in found:
                 rest = {k: v for k, v in headers.items() if k not in HEADER.values() and k != "Content-Length"}
                 yield (*(headers.get(h) for h in HEADER.values()), int(headers["Content-Length"]), rest, payload)
@@ -253,8 +299,6 @@ class _Raw:
     """The part of a raw file that a buffered reader needs."""
 
     def __new__(cls, file):
-        import io
-
         class Raw(io.RawIOBase):
             def readable(self):
                 return True
@@ -324,7 +368,7 @@ def archive(pages: DataFrame, path: str, roll_mb: float = 64, id_col: str = "pag
         F.concat(F.lit("sha1:"), F.col("digest")).alias("payload_digest"),
         F.when(revisit, urn(F.col("response"))).alias("refers_to"),
         F.when(revisit, F.lit(0)).otherwise(F.col("bytes")).cast("long").alias("content_length"),
-        F.create_map(F.lit("WARC-Profile"), F.when(revisit, "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest").otherwise("")).alias("headers"),
+        F.when(revisit, F.create_map(F.lit("WARC-Profile"), F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))).alias("headers"),
         F.when(revisit, F.lit(b"")).otherwise(F.col("body")).alias("payload"),
     )
     out.write.format("docloom_warc").mode("append").option("path", path).option("roll_mb", str(roll_mb)).save()

@@ -1,5 +1,6 @@
 """Operators on small tables with nulls, repeats, ties, empty tables and clashing column names."""
 
+import gzip
 import hashlib
 import re
 import zlib
@@ -344,6 +345,31 @@ def test_warc(spark, tmp_path):
     records = warc.read(spark, str(tmp_path / "w"), payload=False).filter("record_type = 'revisit' and headers['WARC-Profile'] like '%revisit%'")
     assert {r["refers_to"] for r in records.collect()} == {"<urn:page:3>"} and len(list((tmp_path / "w").glob("*.warc.gz"))) > 1
     assert warc.round_trip(pages.limit(0)).count() == 0
+    head = next((tmp_path / "w").glob("*.warc.gz")).read_bytes()
+    assert b"WARC-Profile" not in gzip.decompress(head).split(b"WARC-Type: response")[-1].split(b"\r\n\r\n")[0]
+
+
+def test_warc_archives_of_other_writers(spark, tmp_path):
+    """Plain, compressed by record and compressed as a whole; below folders, alone, and with a large payload."""
+    large = b"x" * 3_000_000
+
+    def record(i, kind, body, end=b"\r\n"):
+        lines = [b"WARC/1.0", b"warc-type: " + kind, b"WARC-Record-ID: <urn:uuid:%d>" % i, b"Content-Type: application/http", b"Content-Length: %d" % len(body)]
+        return end.join(lines) + end + end + body + b"\r\n\r\n"
+
+    made = [record(i, b"response" if i % 3 else b"warcinfo", large if i == 4 else b"body %d\r\n\r\n" % i, b"\n" if i == 5 else b"\r\n") for i in range(9)]
+    (tmp_path / "deep" / "er").mkdir(parents=True)
+    (tmp_path / "deep" / "a.warc").write_bytes(b"".join(made[:3]))
+    (tmp_path / "deep" / "b.warc.gz").write_bytes(b"".join(map(gzip.compress, made[3:6])))
+    (tmp_path / "deep" / "er" / "c.WARC.GZ").write_bytes(gzip.compress(b"".join(made[6:])))
+    (tmp_path / "deep" / "notes.txt").write_bytes(b"no archive")
+    got = warc.read(spark, str(tmp_path / "deep")).filter("record_type = 'response'").collect()
+    assert {r["record_id"]: bytes(r["payload"]) for r in got} == {f"<urn:uuid:{i}>": large if i == 4 else b"body %d\r\n\r\n" % i for i in range(9) if i % 3}
+    assert all(r["headers"] == {"Content-Type": "application/http"} for r in got)
+    assert warc.read(spark, str(tmp_path / "deep" / "b.warc.gz"), payload=False).filter("payload is null").count() == 3
+    pages = spark.createDataFrame([(1, "http://a/%41 b", large.decode()), (2, " odd\n", "y")], "page_id long, url string, html string")
+    warc.archive(pages, str(tmp_path / "own"))
+    assert {r["target_uri"]: len(r["payload"]) for r in warc.read(spark, str(tmp_path / "own")).collect()} == {"http://a/%41 b": 3_000_000, " odd\n": 1}
 
 
 def test_pipeline(spark, tables, tmp_path):

@@ -278,7 +278,11 @@ def test_warc_records():
     want = [r["payload"] for r in rows if r["record_type"] == "response"]
     only = lambda h: h["WARC-Type"] == "response"
     got = list(warc.member_records(io.BytesIO(b"".join(members)), array("Q", map(len, members)), only, True))
-    assert [p for _, p in got] == want and "Evil" not in got[0][0]
+    assert [p for _, p in got] == want and "Evil" not in got[0][0] and got[0][0]["WARC-Target-URI"] == "http://x y\r\nEvil: 1"
+    for value in ("http://x/%20%41", " outer ", "=?utf-8?B?YQ==?=", "a\x00b", "", "é", "\ud800"):
+        assert "\n" not in warc._written(value) and warc._value(warc._written(value)) == value
+    folded = warc.fields([b"warc-type: response\r\n", b"X-Long: one\r\n", b"\ttwo\r\n", b"CONTENT-LENGTH: 3\r\n", b"X-Odd: \xff\r\n"])
+    assert folded == {"WARC-Type": "response", "X-Long": "one two", "Content-Length": "3", "X-Odd": "\ufffd"}
     assert [p for _, p in warc.records(io.BytesIO(b"".join(map(warc.record_bytes, rows))), only, True)] == want
     assert all(p is None for _, p in warc.records(io.BytesIO(b"".join(map(warc.record_bytes, rows))), only, False))
     with pytest.raises(ValueError):
