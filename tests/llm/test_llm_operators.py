@@ -325,6 +325,17 @@ def test_mixing(spark, tables):
     assert mixing.mix(_empty(spark)[0]).count() == 0
     drawn = mixing.draw(docs)
     assert drawn.columns == docs.columns and drawn.groupBy("doc_id").count().filter("doc_id < 160").agg(F.max("count")).first()[0] <= 2
+    # whole documents, each source within half a document of its quota per shard
+    for s, t in zip(order, want, strict=True):
+        own = drawn.filter(F.col("source").eqNullSafe(F.lit(s))).select("text").collect()
+        words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in own)
+        longest = max(len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")) for r in rows if r[3] == s)
+        assert abs(words - t) <= longest / 2 + 40
+    # a third of all rows is one row without an id
+    same = docs.limit(0).unionByName(docs).unionByName(docs.filter("doc_id = 5").withColumn("doc_id", F.lit(None).cast("long")).crossJoin(docs.sparkSession.range(100)).drop("id"))
+    got = mixing.mix(same).filter("doc_id is null").groupBy("size").agg(F.count(F.lit(1)).alias("n"), F.max("taken").alias("hi"), F.min("taken").alias("lo")).orderBy(F.desc("n")).first()
+    assert got["n"] == 100 and got["hi"] - got["lo"] <= 1 and got["hi"] <= 2 * got["size"]
+    assert mixing.draw(same).columns == docs.columns
     many = mixing.mix(docs, mixing.MixParams(shard_docs=7)).groupBy("source").agg(F.sum("taken").alias("t"), F.max("target").alias("g")).collect()
     assert all(abs(r["t"] - r["g"]) < 200 for r in many)
 
