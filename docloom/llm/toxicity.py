@@ -11,7 +11,8 @@ isotonic calibration.  Labelled rows are a bounded sample (``sample``), drawn
 by a hash of the id; every document is scored.
 
 Defined cases: null text counts as empty, and the empty text gets the score of
-its (all-zero) features.  Repeated documents get a row each.  If labelled rows
+its (all-zero) features; texts of any length are read whole.  An empty table gives no
+rows, other columns are ignored, and ties in a split go to the first feature and cut.  Repeated documents get a row each.  If labelled rows
 repeat, a document is toxic if any of them says so; null labels are ignored.
 Without labelled rows of both kinds every score is the share of toxic ones
 (0 without any).  Rows with a null doc_id are scored and are not held out.
@@ -59,7 +60,6 @@ class ToxicityParams:
     least_docs: int = 5
     least_ratio: float = 22.0
     least_gain: float = 12.0
-    lexicon: int = 4000
     trees: int = 60
     depth: int = 3
     rate: float = 0.2
@@ -257,34 +257,30 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), *map(pa.array, counts)], names=["term", "a0", "b0", "a1", "b1"])
 
 
-def _ratio(a: np.ndarray, b: np.ndarray, toxic: int, clean: int) -> np.ndarray:
-    """Likelihood ratio of a term's toxic share against the overall share; 0 where it isn't mostly toxic."""
+def _passes(a: Column, b: Column, toxic: int, clean: int, p: ToxicityParams) -> Column:
+    """Whether a term of ``a`` toxic and ``b`` other documents marks toxic ones, by its likelihood ratio against the overall share."""
     if not toxic or not clean:
-        return np.zeros(len(a))
-    share, n = toxic / (toxic + clean), np.maximum(a + b, 1)
-    rate = a / n
-    with np.errstate(divide="ignore", invalid="ignore"):
-        ratio = 2 * (a * np.log(rate / share) + np.where(b > 0, b * np.log((1 - rate) / (1 - share)), 0.0))
-    return np.where((rate >= 0.8) & (rate > share), ratio, 0.0)
+        return F.lit(False)
+    share, rate = toxic / (toxic + clean), F.try_divide(a, a + b)
+    others = F.when(b > 0, b * F.log((1 - rate) / F.lit(1 - share))).otherwise(0.0)
+    ratio = 2 * (F.when(a > 0, a * F.log(rate / F.lit(share))).otherwise(0.0) + others)
+    return F.coalesce((a >= p.least_docs) & (rate >= 0.8) & (rate > share) & (ratio >= p.least_ratio), F.lit(False))
 
 
 def learn_lexicons(rows: DataFrame, sizes: dict[tuple[int, bool], int], p: ToxicityParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The lexicon of all sampled rows, and those for the rows of fold 0 and 1, each learned from the other fold.
 
-    A term enters if its documents are toxic far more often than chance; at most ``lexicon`` terms.
+    A term enters if its documents are toxic far more often than chance.  Every
+    term of the sampled rows is tested where it is counted; only those that pass
+    one of the three tests reach the driver, and the sample bounds their number.
     """
     counts = rows.select("fold", "toxic", "text").mapInArrow(_count_terms, _TERMS).groupBy("term").agg(*(F.sum(c).alias(c) for c in ("a0", "b0", "a1", "b1")))
-    a, b = F.col("a0") + F.col("a1"), F.col("b0") + F.col("b1")
-    # the strongest by documents; their number is bounded whatever the vocabulary
-    best = counts.filter((F.col("term") != 0) & (a >= p.least_docs) & (a > b)).orderBy((b - a).asc(), "term").limit(5 * p.lexicon).toArrow()
-    term, a0, b0, a1, b1 = (np.asarray(best[c]) for c in ("term", "a0", "b0", "a1", "b1"))
-    n = lambda fold, toxic: sum(v for (f, t), v in sizes.items() if f in fold and t is toxic)
-    out = []
-    for a, b, folds in ((a0 + a1, b0 + b1, (0, 1)), (a1, b1, (1,)), (a0, b0, (0,))):
-        ratio = np.where(a >= p.least_docs, _ratio(a, b, n(folds, True), n(folds, False)), 0.0)
-        order = np.lexsort((term, -ratio))[: p.lexicon]
-        out.append(np.sort(term[order[ratio[order] >= p.least_ratio]].view(np.uint64)))
-    return tuple(out)
+    n = lambda folds, toxic: sum(v for (f, t), v in sizes.items() if f in folds and t is toxic)
+    parts = {"all": (F.col("a0") + F.col("a1"), F.col("b0") + F.col("b1"), (0, 1)), "of0": (F.col("a1"), F.col("b1"), (1,)), "of1": (F.col("a0"), F.col("b0"), (0,))}
+    tests = {name: _passes(a, b, n(folds, True), n(folds, False), p) for name, (a, b, folds) in parts.items()}
+    found = counts.filter("term <> 0").select("term", *(t.alias(name) for name, t in tests.items())).filter("all or of0 or of1").toArrow()
+    term = np.asarray(found["term"]).view(np.uint64)
+    return tuple(np.sort(term[np.asarray(found[name])]) for name in parts)
 
 
 def train(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()) -> tuple[np.ndarray, Trees]:
