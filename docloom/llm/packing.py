@@ -15,8 +15,8 @@ the table, whatever its size and partitioning.  Terms with few documents share a
 shard; a term with more than a shard holds is split evenly over several.  Within
 a shard every shared term of the seed scores.
 
-Plan: tokens are written once to the shared folder (two bytes each) and shuffled
-once, by shard.  A task holds one shard: ``shard_docs`` documents or
+Plan: tokens (two bytes each) and their counts are written once to the shared
+folder and shuffled once, by shard; frequencies and routes read the counts alone.  A task holds one shard: ``shard_docs`` documents or
 ``shard_tokens`` tokens on average, or one document that is longer.  The driver
 sees one row per term of the vocabulary.  Sequence ids are ``shard * 2^32 + n``.
 
@@ -86,12 +86,17 @@ def token_ids(text: str, p: PackParams) -> np.ndarray:
     return out
 
 
-def term_weights(doc: np.ndarray, mean: float, p: PackParams) -> tuple[np.ndarray, np.ndarray]:
-    """A document's terms in order, and their BM25 weights but for the inverse document frequency."""
+def counted(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A document's terms in order, and how often each occurs."""
     t = np.sort(doc)
     edge = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-    tf = np.diff(np.append(edge, len(t)))
-    return t[edge], tf * (p.k1 + 1) / (tf + p.k1 * (1 - p.b + p.b * len(doc) / mean))
+    return t[edge], np.diff(np.append(edge, len(t))).astype(np.uint32)
+
+
+def term_weights(tf: np.ndarray, length: int, mean: float, p: PackParams) -> np.ndarray:
+    """BM25 weights of a document's terms but for the inverse document frequency."""
+    tf = tf.astype(np.float64)
+    return tf * (p.k1 + 1) / (tf + p.k1 * (1 - p.b + p.b * length / mean))
 
 
 def idf(df: np.ndarray, n: int) -> np.ndarray:
@@ -101,30 +106,43 @@ def idf(df: np.ndarray, n: int) -> np.ndarray:
 class Index:
     """A BM25 inverted index over the documents of one shard."""
 
-    def __init__(self, docs: list[np.ndarray], p: PackParams):
+    def __init__(self, docs: list[np.ndarray], p: PackParams, found: list[tuple[np.ndarray, np.ndarray]] | None = None):
         self.n = len(docs)
-        mean = sum(map(len, docs)) / self.n
-        found = [term_weights(d, mean, p) for d in docs]
-        sizes = [len(t) for t, _ in found]
+        found = [counted(d) for d in docs] if found is None else found
+        length = np.fromiter((len(d) for d in docs), np.float64, self.n)
+        sizes = np.fromiter((len(t) for t, _ in found), np.int64, self.n)
         self.offsets = np.concatenate([[0], np.cumsum(sizes)])
         self.terms = np.concatenate([t for t, _ in found])
         self.df = np.bincount(self.terms, minlength=1 << 16)
-        weight = np.concatenate([w for _, w in found]) * idf(self.df, self.n)[self.terms]
+        weight = term_weights(np.concatenate([c for _, c in found]), np.repeat(length, sizes), length.mean(), p) * idf(self.df, self.n)[self.terms]
+        owner = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+        # terms of many documents stand in a matrix, the others in postings
+        common = np.flatnonzero(self.df * 8 > self.n)
+        self.column = np.full(1 << 16, -1, np.int32)
+        self.column[common] = np.arange(len(common))
+        at = self.column[self.terms]
+        self.dense = np.zeros((self.n, len(common)), np.float32)
+        self.dense[owner[at >= 0], at[at >= 0]] = weight[at >= 0]
+        self.rare = (at < 0) & (self.df[self.terms] > 1)
         by = np.argsort(self.terms, kind="stable")
-        self.owner, self.weight = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[by], weight[by]
+        self.owner, self.weight = owner[by], weight[by]
         self.start = np.concatenate([[0], np.cumsum(self.df)])
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document for all of the seed's terms that another document shares."""
-        terms = self.terms[self.offsets[seed] : self.offsets[seed + 1]]
-        terms = terms[self.df[terms] > 1]
-        if not len(terms):
-            return np.zeros(self.n)
-        spans = [slice(self.start[t], self.start[t + 1]) for t in terms]
-        return np.bincount(np.concatenate([self.owner[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), self.n)
+        own = slice(self.offsets[seed], self.offsets[seed + 1])
+        out = (self.dense @ (self.dense[seed] > 0).astype(np.float32)).astype(np.float64)
+        terms = self.terms[own][self.rare[own]]
+        if len(terms):
+            lo, size = self.start[terms], self.df[terms]
+            ends = np.cumsum(size)
+            # the places of all postings of the terms, one after another
+            at = np.arange(ends[-1]) + np.repeat(lo - ends + size, size)
+            out += np.bincount(self.owner[at], self.weight[at], self.n)
+        return out
 
 
-def pack_shard(docs: list[np.ndarray], p: PackParams) -> list[tuple[int, int, int, int, int]]:
+def pack_shard(docs: list[np.ndarray], p: PackParams, found: list[tuple[np.ndarray, np.ndarray]] | None = None) -> list[tuple[int, int, int, int, int]]:
     """Pieces ``(document, start, length, sequence, offset)`` of one shard."""
     out, seq = [], 0
     start = np.zeros(len(docs), np.int64)
@@ -137,7 +155,7 @@ def pack_shard(docs: list[np.ndarray], p: PackParams) -> list[tuple[int, int, in
             left[i] -= p.window
     if not left.any():
         return out
-    index = Index(docs, p)
+    index = Index(docs, p, found)
     open_ = left > 0
     last: list[tuple[int, int, int]] = []
     cursor = 0
@@ -196,29 +214,31 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 _NAMES = [f.split()[0] for f in SCHEMA.split(", ")]
 
 
-_TOKENS = "doc_id long, tokens binary"
+_TOKENS = "doc_id long, n long, tokens binary, terms binary, counts binary"
 
 
 def _tokenise(p: PackParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [token_ids(t, p).tobytes() for t in strings(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["doc_id", "tokens"])
+            docs = [token_ids(t, p) for t in strings(b.column(1))]
+            found = [counted(d) for d in docs]
+            cols = [[d.tobytes() for d in docs], [t.tobytes() for t, _ in found], [c.tobytes() for _, c in found]]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(map(len, docs)), pa.int64()), *(pa.array(c, pa.binary()) for c in cols)], names=["doc_id", "n", "tokens", "terms", "counts"])
 
     return run
 
 
-def _ids(column) -> list[np.ndarray]:
-    return [np.frombuffer(v, np.uint16) for v in column.to_pylist()]
+def _ids(column, kind=np.uint16) -> list[np.ndarray]:
+    return [np.frombuffer(v, kind) for v in column.to_pylist()]
 
 
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents per term of one partition; term -1 counts documents, term -2 tokens."""
     df, docs, tokens = np.zeros(1 << 16, np.int64), 0, 0
     for b in batches:
-        for d in _ids(b.column(0)):
-            df[np.unique(d)] += 1
-            docs, tokens = docs + 1, tokens + len(d)
+        if b.num_rows:
+            df += np.bincount(np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16), minlength=1 << 16)
+            docs, tokens = docs + b.num_rows, tokens + int(b.column(0).to_numpy().sum())
     held = np.flatnonzero(df)
     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1, -2], held])), pa.array(np.concatenate([[docs, tokens], df[held]]))], names=["term", "n"])
 
@@ -230,18 +250,20 @@ class Router:
         self.weight = np.where(df > 1, idf(df, docs), -1.0)
         self.mean, self.p = tokens / max(1, docs), p
 
-    def term(self, doc: np.ndarray) -> int:
-        terms, w = term_weights(doc, self.mean, self.p)
-        w = w * self.weight[terms]
+    def term(self, terms: np.ndarray, counts: np.ndarray, length: int) -> int:
+        w = term_weights(counts, length, self.mean, self.p) * self.weight[terms]
         best = int(w.argmax())
         return int(terms[best]) if w[best] > 0 else -1
 
+    def of(self, n, terms, counts) -> list[int]:
+        """The terms of the rows of three columns."""
+        return [self.term(t, c, k) for k, t, c in zip(n.to_pylist(), _ids(terms), _ids(counts, np.uint32), strict=True)]
+
 
 def _route(router: Router):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            docs = _ids(b.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array([router.term(d) for d in docs], pa.int64()), pa.array([len(d) for d in docs], pa.int64())], names=["term", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(router.of(*b.columns), pa.int64()), b.column(0)], names=["term", "n"])
 
     return run
 
@@ -267,9 +289,10 @@ def _deal(router: Router, first: np.ndarray, parts: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = np.array([router.term(d) for d in _ids(b.column(2))], np.int64) + 1
-            dealt = mix(np.asarray(b.column(0)).astype(np.uint64)) % np.maximum(parts[at], 1).astype(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(first[at] + dealt.astype(np.int64)), *b.columns], names=["shard", "row", "doc_id", "tokens"])
+            at = np.array(router.of(b.column("n"), b.column("terms"), b.column("counts")), np.int64) + 1
+            dealt = mix(np.asarray(b.column("row")).astype(np.uint64)) % np.maximum(parts[at], 1).astype(np.uint64)
+            kept = ["row", "doc_id", "tokens", "terms", "counts"]
+            yield pa.RecordBatch.from_arrays([pa.array(first[at] + dealt.astype(np.int64)), *(b.column(c) for c in kept)], names=["shard", *kept])
 
     return run
 
@@ -279,7 +302,8 @@ def _pack(p: PackParams):
         table = table.sort_by("row")
         ids, docs, base = table["doc_id"].to_pylist(), _ids(table["tokens"]), key[0].as_py() << 32
         cols: list[list] = [[] for _ in _NAMES]
-        for i, start, length, seq, offset in pack_shard(docs, p):
+        found = list(zip(_ids(table["terms"]), _ids(table["counts"], np.uint32), strict=True))
+        for i, start, length, seq, offset in pack_shard(docs, p, found):
             crc = zlib.crc32(docs[i][start : start + length].astype("<u4").tobytes())
             for c, v in zip(cols, (ids[i], start, length, crc, len(docs[i]), base + seq, offset), strict=True):
                 c.append(v)
@@ -293,8 +317,8 @@ def pack(docs: DataFrame, p: PackParams = PackParams(), id_col: str = "doc_id",
     scratch = Scratch(docs.sparkSession, "packing")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # the row number is fixed once it is written
-    rows = scratch.table(texts.mapInArrow(_tokenise(p), _TOKENS).withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "tokens"), "tokens")
-    counts = rows.select("tokens").mapInArrow(_document_frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    rows = scratch.table(texts.mapInArrow(_tokenise(p), _TOKENS).withColumn("row", F.monotonically_increasing_id()), "tokens")
+    counts = rows.select("n", "terms").mapInArrow(_document_frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     of = dict(zip(counts["term"].to_pylist(), counts["n"].to_pylist(), strict=True))
     df = np.zeros(1 << 16, np.int64)
     for term, n in of.items():
@@ -302,9 +326,9 @@ def pack(docs: DataFrame, p: PackParams = PackParams(), id_col: str = "doc_id",
             df[term] = n
     router = Router(df, of.get(-1, 0), of.get(-2, 0), p)
     # a row per term of the vocabulary at most
-    totals = rows.select("tokens").mapInArrow(_route(router), "term long, n long").groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("tokens")).orderBy("term").toArrow()
+    totals = rows.select("n", "terms", "counts").mapInArrow(_route(router), "term long, n long").groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("tokens")).orderBy("term").toArrow()
     term, n, tokens = (totals[c].to_numpy() for c in ("term", "docs", "tokens"))
     first, parts = np.zeros((1 << 16) + 1, np.int64), np.ones((1 << 16) + 1, np.int64)
     first[term + 1], parts[term + 1] = shards(term, n, tokens, p)
-    dealt = rows.mapInArrow(_deal(router, first, parts), "shard long, row long, doc_id long, tokens binary")
+    dealt = rows.mapInArrow(_deal(router, first, parts), "shard long, row long, doc_id long, tokens binary, terms binary, counts binary")
     return dealt.groupBy("shard").applyInArrow(_pack(p), SCHEMA)
