@@ -56,6 +56,11 @@ def _found(c: Column, pattern: str, group: int = 1, ignore_case: bool = True) ->
     return F.get(F.filter(F.array(got), lambda g: g != ""), F.lit(0))
 
 
+def _ends(c: Column, span: str, ignore_case: bool = True) -> Column:
+    """Both ends of the first range; the pattern is searched once where there is none."""
+    return let(_found(c, span, 0, ignore_case), lambda r: F.struct(*(F.when(r.isNotNull(), _found(r, span, g, ignore_case).try_cast("double")).alias(n) for g, n in ((1, "low"), (2, "high")))))
+
+
 def parsed(value: Column, confidence: Column) -> Column:
     return F.struct(value.alias("value"), confidence.alias("confidence"))
 
@@ -88,13 +93,13 @@ def numeric(c: Column, strict: bool = True) -> Column:
     def parts(t: Column) -> Column:
         lakh = _found(t, number + (r"\s*(?:lakh|lac|l)" if strict else r"\s*(?:lakh|lac|l)s?\b"))
         crore = _found(t, number + r"\s*(?:crore|cr)")
-        low, high, one = _found(t, span, 1, False), _found(t, span, 2, False), _found(t, number)
-        return F.struct(*(x.try_cast("double").alias(n) for n, x in (("lakh", lakh), ("crore", crore), ("low", low), ("high", high), ("one", one))))
+        found = (("lakh", lakh), ("crore", crore), ("one", _found(t, number)))
+        return F.struct(_ends(t, span, False).alias("range"), *(x.try_cast("double").alias(n) for n, x in found))
 
     def choose(x: Column) -> Column:
-        value = F.coalesce(x["lakh"] * 100000, x["crore"] * 10000000, (x["low"] + x["high"]) / 2, x["one"])
+        value = F.coalesce(x["lakh"] * 100000, x["crore"] * 10000000, (x["range"]["low"] + x["range"]["high"]) / 2, x["one"])
         big = x["lakh"].isNotNull() | x["crore"].isNotNull()
-        return parsed(value, F.when(big, 0.9).when(x["low"].isNotNull(), 0.85).when(x["one"].isNotNull(), 0.95).otherwise(0.0))
+        return parsed(value, F.when(big, 0.9).when(x["range"]["low"].isNotNull(), 0.85).when(x["one"].isNotNull(), 0.95).otherwise(0.0))
 
     plain = F.replace(strip_currency(native_digits(c)), F.lit(","), F.lit(""))
     return let(let(plain, parts), choose)
@@ -106,14 +111,14 @@ def _has(c: Column) -> Column:
 
 def model_name(c: Column) -> Column:
     """Brand and model tail, with the horse power added if the name lacks it."""
-    lower, brand = F.lower(c), F.lit(None).cast("string")
-    for b in reversed(BRANDS):
-        brand = F.when(lower.contains(b), b.title()).otherwise(brand)
-    tail = F.lit(None).cast("string")
-    for b in reversed(BRANDS):
-        tail = F.when(lower.contains(b), _found(c, b + r"\s*([A-Z0-9\-\s]+(?:DI|HP|XT|XL|TURBO)?)")).otherwise(tail)
-    hp = _found(c, r"(\d+)\s*(?:HP|BHP|H\.P\.)")
-    parts = F.struct(brand.alias("brand"), tail.alias("tail"), hp.alias("hp"), strip(c).alias("all"))
+
+    def parts(c: Column, lower: Column) -> Column:
+        brand, tail = F.lit(None).cast("string"), F.lit(None).cast("string")
+        for b in reversed(BRANDS):
+            brand = F.when(lower.contains(b), b.title()).otherwise(brand)
+            tail = F.when(lower.contains(b), _found(c, b + r"\s*([A-Z0-9\-\s]+(?:DI|HP|XT|XL|TURBO)?)")).otherwise(tail)
+        hp = _found(c, r"(\d+)\s*(?:HP|BHP|H\.P\.)")
+        return F.struct(brand.alias("brand"), tail.alias("tail"), hp.alias("hp"), strip(c).alias("all"))
 
     def name(x: Column) -> Column:
         own = F.when(x["tail"].isNotNull(), F.concat(x["brand"], F.lit(" "), strip(x["tail"]))).otherwise(x["all"])
@@ -125,18 +130,22 @@ def model_name(c: Column) -> Column:
         full = F.when(add, F.concat(x["name"], F.lit(" "), x["hp"], F.lit("HP"))).otherwise(x["name"])
         return parsed(full, F.when(x["hp"].isNotNull(), F.greatest(base, F.lit(0.85))).otherwise(base))
 
-    return F.when(_has(c), let(let(parts, name), choose)).otherwise(parsed(F.lit(None).cast("string"), F.lit(0.0)))
+    def of(c: Column) -> Column:
+        found = let(let(let(F.lower(c), lambda lower: parts(c, lower)), name), choose)
+        return F.when(_has(c), found).otherwise(parsed(F.lit(None).cast("string"), F.lit(0.0)))
+
+    return let(c, of)
 
 
 def horse_power(c: Column) -> Column:
     def parts(t: Column) -> Column:
-        found = (("low", _found(t, HP_RANGE, 1)), ("high", _found(t, HP_RANGE, 2)), ("one", _found(t, HP_ONE)), ("any", _found(t, r"(\d+)")))
-        return F.struct(*(x.try_cast("double").alias(n) for n, x in found))
+        found = (("one", _found(t, HP_ONE)), ("any", _found(t, r"(\d+)")))
+        return F.struct(_ends(t, HP_RANGE).alias("range"), *(x.try_cast("double").alias(n) for n, x in found))
 
     def choose(x: Column) -> Column:
         plausible = F.when(x["any"].between(10, 200), x["any"])
-        value = F.coalesce((x["low"] + x["high"]) / 2, x["one"], plausible)
-        return parsed(value, F.when(x["low"].isNotNull(), 0.85).when(x["one"].isNotNull(), 0.95).when(plausible.isNotNull(), 0.5).otherwise(0.0))
+        value = F.coalesce((x["range"]["low"] + x["range"]["high"]) / 2, x["one"], plausible)
+        return parsed(value, F.when(x["range"]["low"].isNotNull(), 0.85).when(x["one"].isNotNull(), 0.95).when(plausible.isNotNull(), 0.5).otherwise(0.0))
 
     return let(let(native_digits(c), parts), choose)
 
