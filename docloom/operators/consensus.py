@@ -21,9 +21,12 @@ VALUE = ("s", "n", "p", "b", "c")
 
 
 def pair(values: DataFrame, engines: tuple[str, str] = ENGINES) -> DataFrame:
-    """Pivots ``doc_id, engine, field_name, s, n, p, b, confidence`` to one row per document and field."""
-    value = F.struct("s", "n", "p", "b", F.col("confidence").alias("c"))
-    wide = values.groupBy("doc_id", "field_name").pivot("engine", list(engines)).agg(F.first(value))
+    """Pivots ``doc_id, engine, field_name, s, n, p, b, confidence`` to one row per document and field.
+
+    Of several values of an engine the surest counts, then the largest.
+    """
+    value = F.struct(F.col("confidence").alias("c"), "s", "n", "p", "b")
+    wide = values.groupBy("doc_id", "field_name").pivot("engine", list(engines)).agg(F.max(value))
     cols = [F.col(f"`{e}`.{v}").alias(f"{v}{i}") for i, e in enumerate(engines, 1) for v in VALUE]
     has = [F.col(f"`{e}`").isNotNull().alias(f"has{i}") for i, e in enumerate(engines, 1)]
     return wide.select("doc_id", "field_name", *cols, *has)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..config import DEALERS, ENGINES, NUMERIC_FIELDS, TEXT_FIELDS, VISUAL_FIELDS
 from ..functions import text
 from ..operators import consensus, results
+from ..sources.staging import staged
 
 COMPONENTS = {"view": "paddle_ocr", "click": "deepseek_ocr", "signup": "tier1_rules", "purchase": "tier2_slm", "error": "tier3_vlm"}
 
@@ -120,7 +121,8 @@ def values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consensus.detect(consensus.pair(values(spark, sf_dir)))
+    # pairs are scored against their own distinct values: the texts are parsed once
+    return consensus.detect(staged(consensus.pair(values(spark, sf_dir)), "pairs"))
 
 
 def agreed(spark: SparkSession, sf_dir: str) -> DataFrame:
