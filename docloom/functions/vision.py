@@ -64,6 +64,58 @@ def decode_png(data: bytes) -> np.ndarray:
     return img[..., 0] if channels <= 2 else img[..., :3]
 
 
+def decode_bmp(data: bytes) -> np.ndarray:
+    """An uncompressed bitmap of 8, 24 or 32 bits a pixel."""
+    offset, head, width, height, _, bits, packed = struct.unpack("<IIiiHHI", data[10:34])
+    if bits not in (8, 24, 32) or packed not in (0, 3):
+        raise ValueError("unsupported BMP")
+    step = (width * bits // 8 + 3) // 4 * 4
+    rows = np.frombuffer(data, np.uint8, step * abs(height), offset).reshape(abs(height), step)
+    rows = rows[::-1] if height > 0 else rows
+    if bits == 8:
+        used = struct.unpack("<I", data[46:50])[0] or 256
+        return np.frombuffer(data, np.uint8, 4 * used, 14 + head).reshape(-1, 4)[:, 2::-1][rows[:, :width]]
+    return rows[:, : width * bits // 8].reshape(abs(height), width, bits // 8)[..., 2::-1].copy()
+
+
+def decode_tiff(data: bytes) -> np.ndarray:
+    """An uncompressed 8-bit grey or RGB strip image."""
+    order = {b"II": "<", b"MM": ">"}[data[:2]]
+    at = struct.unpack(order + "I", data[4:8])[0]
+    tags = {}
+    for i in range(struct.unpack(order + "H", data[at : at + 2])[0]):
+        entry = data[at + 2 + 12 * i : at + 14 + 12 * i]
+        tag, kind, n = struct.unpack(order + "HHI", entry[:8])
+        form = {1: "B", 3: "H", 4: "I"}.get(kind)
+        if form is None:
+            continue
+        size = struct.calcsize(form) * n
+        raw = entry[8 : 8 + size] if size <= 4 else data[(start := struct.unpack(order + "I", entry[8:])[0]) : start + size]
+        tags[tag] = struct.unpack(f"{order}{n}{form}", raw)
+    width, height, channels = tags[256][0], tags[257][0], tags.get(277, (1,))[0]
+    if tags.get(259, (1,))[0] != 1 or set(tags.get(258, (1,))) != {8} or channels not in (1, 3, 4):
+        raise ValueError("unsupported TIFF")
+    body = b"".join(data[o : o + n] for o, n in zip(tags[273], tags[279], strict=True))
+    img = np.frombuffer(body, np.uint8, width * height * channels).reshape(height, width, channels)
+    if channels == 1:
+        return 255 - img[..., 0] if tags.get(262, (1,))[0] == 0 else img[..., 0]
+    return img[..., :3]
+
+
+def decode(data: bytes) -> np.ndarray:
+    """An image of any format known here; others are tried with an image library where one is installed."""
+    for start, read in ((b"\x89PNG", decode_png), (b"BM", decode_bmp), (b"II*\x00", decode_tiff), (b"MM\x00*", decode_tiff)):
+        if data.startswith(start):
+            return read(data)
+    try:
+        from PIL import Image
+    except ImportError:
+        raise ValueError("unknown image format") from None
+    import io
+
+    return np.asarray(Image.open(io.BytesIO(data)).convert("RGB"))
+
+
 def encode_png(img: np.ndarray) -> bytes:
     """A grey or RGB array as PNG."""
     h, w = img.shape[:2]

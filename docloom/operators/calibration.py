@@ -8,6 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import FIELDS
+from ..sources import readers, writers
+from . import evaluation
+
 LEAST_SAMPLES = 10
 
 
@@ -16,16 +20,43 @@ def _bin(n: int):
     return F.least(F.floor(F.col("confidence") * n), F.lit(n - 1)).cast("int")
 
 
+def samples(predicted: DataFrame, golden: DataFrame) -> DataFrame:
+    """Every predicted field with a confidence whose truth is known, and whether it is right."""
+    rows = evaluation.join_sides(predicted, golden).filter("confidence is not null")
+    return rows.select("field_name", "confidence", evaluation.correct(None).alias("correct"))
+
+
+def train(predicted: DataFrame, golden: DataFrame, fields: tuple[str, ...] = FIELDS, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Knots per field and the metrics of its samples; the knots are saved if a path is given."""
+    own = samples(predicted, golden).filter(F.col("field_name").isin(*fields))
+    knots = fit_isotonic(own)
+    if path is not None:
+        writers.calibrator(knots, path)
+        knots = readers.calibrator(own.sparkSession, path)
+    return knots, calibration_error(own).filter(F.col("samples") >= LEAST_SAMPLES)
+
+
+def calibrate_fields(fields: DataFrame, knots: DataFrame | None) -> DataFrame:
+    """Final fields with ``calibrated_confidence``: the map of their field, or the confidence without one."""
+    if knots is None:
+        return fields.withColumn("calibrated_confidence", F.col("confidence"))
+    return apply_isotonic(fields, knots).withColumnRenamed("calibrated", "calibrated_confidence")
+
+
+def at_points(knots: DataFrame, points: int = 11) -> DataFrame:
+    """The maps at evenly spaced confidences, as a calibrator file states them."""
+    grid = knots.select("field_name").distinct().withColumn("confidence", F.explode(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: i / F.lit(points - 1))))
+    return apply_isotonic(grid, knots).select("field_name", F.col("confidence").alias("x"), F.col("calibrated").alias("y"))
+
+
 def fit_bins(samples: DataFrame, n: int = 10, least: int = LEAST_SAMPLES) -> DataFrame:
     """``field_name, bin, samples, value``: the share that was right per bin, an empty bin's centre.
 
     Fields with fewer than ``least`` samples are left out.
     """
-    spark = samples.sparkSession
     counted = samples.groupBy("field_name", _bin(n).alias("bin")).agg(F.count(F.lit(1)).alias("samples"), F.count_if("correct").alias("right"))
     fields = samples.groupBy("field_name").agg(F.count(F.lit(1)).alias("all")).filter(F.col("all") >= least).select("field_name")
     grid = fields.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    del spark
     value = F.coalesce(F.col("right") / F.col("samples"), (F.col("bin") + 0.5) / n)
     return grid.join(counted, ["field_name", "bin"], "left").select("field_name", "bin", F.coalesce("samples", F.lit(0).cast("long")).alias("samples"), value.alias("value"))
 

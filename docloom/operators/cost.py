@@ -22,6 +22,32 @@ def price(log: DataFrame, c: CostConfig = CostConfig()) -> DataFrame:
     return log.withColumn("cost", cost.cast(MONEY))
 
 
+def invocations(answers: DataFrame, found: DataFrame, final: DataFrame) -> DataFrame:
+    """The component calls that processing documents made, with what the log says of each.
+
+    ``answers``: a reader's lines and mean confidence per document (``doc_id,
+    engine, lines, avg_confidence``); ``found``: detections per document and class;
+    ``final``: fields with the ``cost`` that the ladder states for them.
+    """
+    note = lambda *cols: F.to_json(F.struct(*cols))
+    read = answers.select("doc_id", F.concat("engine", F.lit("_ocr")).alias("component"), F.lit(None).cast("string").alias("field_name"), note(F.col("lines").alias("word_count"), "avg_confidence").alias("metadata"))
+    marked = found.select("doc_id", F.concat(F.lit("yolo_"), "class_name").alias("component"), F.col("class_name").alias("field_name"), note("detections", "verified").alias("metadata"))
+    # the ladder's cost states which judges a field went through
+    fees = F.bround(F.col("cost") * 1000).cast("int")
+    tiers = F.concat(
+        F.when((F.coalesce("source", F.lit("")).startswith("tier1") & (F.col("source") != "tier1_consensus")) | (fees > 0), F.array(F.lit("tier1_rules"))).otherwise(F.array().cast("array<string>")),
+        F.when(fees % 20 != 0, F.array(F.lit("tier2_slm"))).otherwise(F.array().cast("array<string>")),
+        F.when(fees >= 20, F.array(F.lit("tier3_vlm"))).otherwise(F.array().cast("array<string>")),
+    )
+    judged = final.select("doc_id", F.explode(tiers).alias("component"), "field_name", F.lit("{}").alias("metadata"))
+    return read.unionByName(marked).unionByName(judged)
+
+
+def of_document(log: DataFrame, doc_id) -> DataFrame:
+    """The calls and cost of one document."""
+    return log.filter(F.col("doc_id") == F.lit(doc_id))
+
+
 def by_document(log: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """``doc_id, cost, latency, calls``; latency is the run's elapsed time where known, else the calls' sum."""
     out = log.groupBy("doc_id").agg(F.sum("cost").alias("cost"), F.sum(F.col("latency").cast(SECONDS)).alias("latency"), F.count(F.lit(1)).alias("calls"))

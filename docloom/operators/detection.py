@@ -65,19 +65,82 @@ def filter_contours(contours: DataFrame) -> DataFrame:
     return contours.filter(signature | stamp).withColumn("_n", F.row_number().over(at)).filter(F.col("_n") <= most).drop("_n")
 
 
+def suppress(detections: DataFrame, confidence: float = 0.5, overlap: float = 0.45) -> DataFrame:
+    """Detections that are sure enough and that no surer one of their document and class overlaps.
+
+    Greedy in order of confidence, then of ``det_no``; those of one image meet in
+    one group, which a detector bounds.
+    """
+    schema = detections.schema
+
+    def keep(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values(["confidence", "det_no"], ascending=[False, True], kind="stable")
+        kept: list[int] = []
+        boxes = [list(map(float, b)) for b in own["bbox"]]
+        for i, box in enumerate(boxes):
+            if all(_overlap(box, boxes[j]) <= overlap for j in kept):
+                kept.append(i)
+        return own.iloc[kept]
+
+    return detections.filter((F.col("confidence") >= confidence) & F.col("bbox").isNotNull()).groupBy("doc_id", "class_name").applyInPandas(keep, schema)
+
+
+def _overlap(p: list[float], q: list[float]) -> float:
+    """Intersection over union of xywh boxes."""
+    w, h = min(p[0] + p[2], q[0] + q[2]) - max(p[0], q[0]), min(p[1] + p[3], q[1] + q[3]) - max(p[1], q[1])
+    both = max(0.0, w) * max(0.0, h)
+    union = p[2] * p[3] + q[2] * q[3] - both
+    return both / union if union > 0 else 0.0
+
+
+def counts(verified: DataFrame) -> DataFrame:
+    """Detections and verified ones per document and class."""
+    return verified.groupBy("doc_id", "class_name").agg(F.count(F.lit(1)).alias("detections"), F.count_if("verified").alias("verified"))
+
+
+def find(images: DataFrame, lines: DataFrame | None = None, detector=None, c: VerifyConfig = VerifyConfig(), classes: tuple[str, ...] = ("signature", "stamp")) -> DataFrame:
+    """Marks of the classes in ``images``, suppressed and, with their crops' metrics and the lines over them, verified."""
+    found = suppress(detect_heuristically(images, detector).filter(F.col("class_name").isin(*classes)))
+    measured = crop_metrics(images, found)
+    rows = found.join(measured, ["doc_id", "class_name", "det_no"])
+    rows = words_in_boxes(rows, lines) if lines is not None else rows.withColumn("words", F.lit(0).cast("long"))
+    return verify(rows, c)
+
+
+def crop_metrics(images: DataFrame, found: DataFrame) -> DataFrame:
+    """Page size and the metrics of every detection's crop; an image is decoded once."""
+    boxes = found.groupBy("doc_id").agg(F.collect_list(F.struct("class_name", "det_no", "bbox")).alias("boxes"))
+    schema = "doc_id string, class_name string, det_no int, width int, height int, density double, components int, color double, circularity double, rectangularity double"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for doc, data, own in zip(b["doc_id"], b["content"], b["boxes"], strict=True):
+                img = vision.decode(bytes(data))
+                for x in own:
+                    part = vision.crop(img, [int(v) for v in x["bbox"]])
+                    if not part.size:
+                        continue
+                    circle, rect = vision.shape_scores(part)
+                    out.append((doc, x["class_name"], x["det_no"], img.shape[1], img.shape[0], vision.stroke_density(part), vision.components(part), vision.color_score(part), circle, rect))
+            yield pd.DataFrame(out, columns=[f.split()[0] for f in schema.split(", ")])
+
+    return images.select("doc_id", "content").join(boxes, "doc_id").mapInPandas(run, schema)
+
+
 METRICS = "doc_id string, width int, height int, density double, components int, color double, circularity double, rectangularity double, error string"
 FOUND = "doc_id string, class_name string, det_no int, bbox array<int>, confidence double"
 
 
 def image_metrics(images: DataFrame) -> DataFrame:
-    """Metrics of whole images ``doc_id, content`` (PNG); an unreadable image gives an error and nulls."""
+    """Metrics of whole images ``doc_id, content``; an unreadable image gives an error and nulls."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for doc, data in zip(b["doc_id"], b["content"], strict=True):
                 try:
-                    img = vision.decode_png(bytes(data))
+                    img = vision.decode(bytes(data))
                     h, w = img.shape[:2]
                     circle, rect = vision.shape_scores(img)
                     out.append((doc, w, h, vision.stroke_density(img), vision.components(img), vision.color_score(img), circle, rect, None))
@@ -99,7 +162,7 @@ def detect_heuristically(images: DataFrame, detector=None) -> DataFrame:
             out = []
             for doc, data in zip(b["doc_id"], b["content"], strict=True):
                 try:
-                    img = vision.decode_png(bytes(data))
+                    img = vision.decode(bytes(data))
                 except Exception:
                     continue
                 found = list(detector(img)) if detector is not None else []

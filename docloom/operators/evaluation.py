@@ -14,7 +14,7 @@ from ..config import FIELDS, NUMERIC_FIELDS, VISUAL_FIELDS
 from ..functions.fuzzy import fuzzy_score
 from ..functions.geometry import iou
 from ..functions.numeric import matches_exactly, within
-from ..functions.text import strip
+from ..functions.text import jaccard, strip, tokens
 
 
 def latest(rows: DataFrame, keys: list[str], position: str) -> DataFrame:
@@ -123,6 +123,13 @@ def strict_scores(joined: DataFrame, fuzzy: float = 80.0, iou_threshold: float =
     return rows.withColumns({"correct": ok, "score": score}).drop("_p", "_g", "_a", "_b", "fuzzy")
 
 
+def plain_similarity(a: Column, b: Column) -> Column:
+    """Similarity without a fuzzy library: 100 if equal, 80 if one holds the other, else the share of common words."""
+    x, y = F.lower(strip(a)), F.lower(strip(b))
+    score = F.when(x == y, 100.0).when(x.contains(y) | y.contains(x), 80.0).otherwise(100 * jaccard(tokens(x), tokens(y)))
+    return F.when(a.isNull() | b.isNull(), 0.0).otherwise(score)
+
+
 def strict_summary(scored: DataFrame) -> DataFrame:
     """Correct, total and accuracy in percent per field and, as field ``overall``, of all."""
     out = scored.rollup("field_name").agg(F.count_if("correct").alias("correct"), F.count(F.lit(1)).alias("total"), F.grouping("field_name").alias("_all"))

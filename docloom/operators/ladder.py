@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import NUMERIC_FIELDS, VISUAL_FIELDS, LadderConfig
 from ..functions import responses, text
+from ..sources.staging import staged
 from .matching import prefilter_dealers
 
 Judge = Callable[[DataFrame], DataFrame]
@@ -94,8 +95,9 @@ def _judged(rows: DataFrame, open_: Column, judge: Judge, native: Judge, name: s
     if judge is native:
         found = judge(rows).withColumnRenamed("judgment", name)
         return found.withColumn(name, F.when(open_, F.col(name)))
-    rows = rows.withColumn("_open", open_).persist()
-    seen = judge(rows.filter("_open").drop("_open")).withColumnRenamed("judgment", name)
+    # written once: a judge's model must not run again for a lost executor or a second reader
+    rows = staged(rows.withColumn("_open", open_), "judge")
+    seen = staged(judge(rows.filter("_open").drop("_open")).withColumnRenamed("judgment", name), "judged")
     rest = rows.filter(~F.col("_open")).drop("_open")
     return seen.unionByName(rest, allowMissingColumns=True)
 

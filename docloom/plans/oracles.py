@@ -441,6 +441,21 @@ def oracle_sql() -> dict[str, str]:
         "diagnostics_accuracy": f"WITH {ALL}, {GOLD}, {judged('agr', 'jd', False)}, v AS (SELECT doc_id, bool_and(has_g AND ok) AS r FROM jd GROUP BY doc_id) SELECT count(*) FILTER (WHERE r) AS correct_documents, count(*) AS documents, count(*) FILTER (WHERE r)::DOUBLE / count(*) AS accuracy FROM v",
         "error_breakdown": f"WITH {ALL}, {GOLD}, {judged('agr', 'jd', False)} SELECT {CATEGORY} AS category, count(*) AS errors FROM jd WHERE has_g AND NOT ok GROUP BY 1",
         "error_by_field": f"WITH {ALL}, {GOLD}, {judged('agr', 'jd', False)} SELECT field_name, {CATEGORY} AS category, count(*) AS errors FROM jd WHERE has_g AND NOT ok GROUP BY ALL",
+        "error_report": f"WITH {ALL}, {GOLD}, {judged('agr', 'jd', False)} SELECT doc_id, field_name AS field, {CATEGORY} AS category, confidence FROM jd WHERE has_g AND NOT ok ORDER BY doc_id, field_name LIMIT 100",
+        "report_values": f"WITH {joined}, v AS (SELECT doc_id, field_name, ok AS correct, coalesce(s, n::DECIMAL(18,3)::VARCHAR) AS p_, coalesce(gs, gn::DECIMAL(18,3)::VARCHAR) AS g_, n, gn FROM jd WHERE has_g AND NOT vis) SELECT doc_id, field_name, correct, CASE WHEN coalesce(n, 1) <> 0 THEN substr(nullif(p_, ''), 1, 100) END AS predicted, CASE WHEN coalesce(gn, 1) <> 0 THEN substr(nullif(g_, ''), 1, 100) END AS ground_truth FROM v",
+        "plain_similarity": f"{i}, {SELL}, l AS (SELECT doc_id, lower({strip('a')}) AS x, lower({strip('b')}) AS y FROM sell) SELECT doc_id, round(CASE WHEN x IS NULL OR y IS NULL THEN 0::DOUBLE WHEN x = y THEN 100::DOUBLE WHEN contains(x, y) OR contains(y, x) THEN 80::DOUBLE ELSE 100::DOUBLE * ({jaccard(tokens('x'), tokens('y'))}) END, 9) AS score FROM l",
+        "simple_documents": f"{ladder_sql('full')} SELECT doc_id, round_even(count(*) * 0.25::DOUBLE, 1) AS processing_time_sec, round_even(sum(cost::DECIMAL(10,4))::DOUBLE, 4) AS cost_estimate_usd FROM fin GROUP BY doc_id",
+        "outcomes": f"WITH {ALL}, ok_ AS (SELECT DISTINCT doc_id FROM agr WHERE s IS NOT NULL OR n IS NOT NULL) SELECT count(*) AS documents, count(o.doc_id) AS succeeded, count(*) - count(o.doc_id) AS failed FROM inv LEFT JOIN ok_ o ON inv.doc_id = o.doc_id",
+        "calibration_samples": f"WITH {ALL}, {GOLD}, {judged('agr', 'jd', False)} SELECT field_name, count(*) AS samples, count(*) FILTER (WHERE ok) AS right FROM jd WHERE has_g AND confidence IS NOT NULL GROUP BY field_name",
+        "calibrated_fields": f"WITH {ALL} SELECT doc_id, field_name, round(CASE field_name WHEN 'horse_power' THEN 0.4::DOUBLE + 0.5::DOUBLE * greatest(0, least(1, (confidence - 0.5::DOUBLE) / 0.5::DOUBLE)) WHEN 'asset_cost' THEN greatest(0, least(1, (confidence - 0.25::DOUBLE) / 0.5::DOUBLE)) ELSE confidence END, 9) AS calibrated_confidence FROM agr",
+        "suppressed": f"""{boxes}, s AS (SELECT x.doc_id, x.class_name, x.confidence AS c0, y.confidence AS c1, {iou('bp.p', 'bp.r')} AS o FROM det x JOIN det y ON x.doc_id = y.doc_id AND x.class_name = y.class_name AND x.det_no = 0 AND y.det_no = 1 JOIN bp ON bp.doc_id = x.doc_id AND bp.class_name = x.class_name)
+            SELECT doc_id, class_name, 0 AS det_no FROM s WHERE c0 >= 0.6::DOUBLE AND NOT (c1 > c0 AND o > 0.45::DOUBLE) UNION ALL SELECT doc_id, class_name, 1 FROM s WHERE c1 >= 0.6::DOUBLE AND NOT (c0 >= c1 AND o > 0.45::DOUBLE)""",
+        "detection_counts": f"""{i}, {DET}, c AS (SELECT *, least(bbox[1] + bbox[3], 800) - greatest(0, bbox[1]) AS w, least(bbox[2] + bbox[4], 1100) - greatest(0, bbox[2]) AS h FROM det)
+            SELECT doc_id, class_name, count(*) AS detections, count(*) FILTER (WHERE w > 0 AND h > 0 AND CASE class_name WHEN 'signature' THEN density BETWEEN 0.05::DOUBLE AND 0.3::DOUBLE AND components >= 5 ELSE color >= 0.1::DOUBLE AND (circularity >= 0.5::DOUBLE OR rectangularity >= 0.7::DOUBLE) END) AS verified FROM c GROUP BY ALL""",
+        "invocations": f"""{ladder_sql('full')}, {LINES}, f AS (SELECT doc_id, source, round(cost * 1000)::INTEGER AS fee FROM fin),
+            c AS (SELECT DISTINCT doc_id, engine, engine || '_ocr' AS component FROM lines UNION ALL SELECT DISTINCT doc_id, class_name, 'yolo_' || class_name FROM det
+              UNION ALL SELECT doc_id, '', 'tier1_rules' FROM f WHERE fee > 0 OR (source LIKE 'tier1%' AND source <> 'tier1_consensus') UNION ALL SELECT doc_id, '', 'tier2_slm' FROM f WHERE fee % 20 <> 0 UNION ALL SELECT doc_id, '', 'tier3_vlm' FROM f WHERE fee >= 20)
+            SELECT component, count(*) AS calls, count(DISTINCT doc_id) AS documents FROM c GROUP BY component""",
         "ablation": f"""WITH {ALL}, {GOLD}, pv AS (
               SELECT 'consensus' AS config, doc_id, field_name, s, n, p, b, num, vis FROM agr UNION ALL SELECT 'paddle_only', doc_id, field_name, s1, n1, p1, b1, num, vis FROM agr UNION ALL SELECT 'deepseek_only', doc_id, field_name, s2, n2, p2, b2, num, vis FROM agr),
             {judged('pv', 'jd')}, v AS (SELECT config, doc_id, count(*) FILTER (WHERE ok) >= {len(FIELDS)} AS r FROM jd WHERE has_g GROUP BY ALL)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import NUMERIC_FIELDS, LadderConfig
 from ..functions import geometry, numeric, responses, text
-from ..operators import calibration, consensus, cost, detection, evaluation, ladder, matching, results, sampling
+from ..operators import calibration, consensus, cost, detection, evaluation, ladder, matching, reports, results, sampling
 from ..sources import readers, synthetic
 from . import tables
 
@@ -220,6 +220,27 @@ def best_detection(spark, sf_dir):
     return results.best_detection(tables.detections(tables.invoices(spark, sf_dir))).select("doc_id", "field_name", "det_no", "confidence")
 
 
+@query
+def suppressed(spark, sf_dir):
+    d = tables.detections(tables.invoices(spark, sf_dir))
+    near = d.withColumn("bbox", F.transform("bbox", lambda x, i: F.when(i < 2, (x / 40).cast("int")).otherwise(x)))
+    return detection.suppress(near.select("doc_id", "class_name", "det_no", "bbox", "confidence"), confidence=0.6).select("doc_id", "class_name", "det_no")
+
+
+@query
+def detection_counts(spark, sf_dir):
+    found = tables.detections(tables.invoices(spark, sf_dir))
+    return detection.counts(detection.verify(found.withColumn("words", F.lit(0).cast("long"))))
+
+
+@query
+def invocations(spark, sf_dir):
+    i = tables.invoices(spark, sf_dir)
+    found = detection.counts(tables.detections(i).withColumn("verified", F.col("confidence") >= 0.7))
+    calls = cost.invocations(readers.full_text(tables.lines(tables.readings(i))).select("doc_id", "engine", "lines", "avg_confidence"), found, _ladder(spark, sf_dir, "full"))
+    return calls.groupBy("component").agg(F.count(F.lit(1)).alias("calls"), F.count_distinct("doc_id").alias("documents"))
+
+
 @query
 def verify_detection(spark, sf_dir):
     found = tables.detections(tables.invoices(spark, sf_dir))
@@ -437,6 +458,36 @@ def ablation(spark, sf_dir):
     return evaluation.ablation({k: v.select("doc_id", "field_name", "s", "n", "p", "b") for k, v in configs.items()}, tables.golden(spark, sf_dir))
 
 
+@query
+def error_report(spark, sf_dir):
+    return reports.first_errors(_joined(spark, sf_dir)).select("doc_id", "field", "category", "confidence")
+
+
+@query
+def report_values(spark, sf_dir):
+    rows = reports.field_details(_joined(spark, sf_dir).filter(~F.col("field_name").isin("signature", "stamp")))
+    return rows.select("doc_id", "field_name", "correct", "predicted", "ground_truth").withColumns({c: F.coalesce(F.col(c).try_cast("double").cast("decimal(18,3)").cast("string"), F.col(c)) for c in ("predicted", "ground_truth")})
+
+
+@query
+def plain_similarity(spark, sf_dir):
+    return _sellers(spark, sf_dir).select("doc_id", F.round(evaluation.plain_similarity(F.col("a"), F.col("b")), 9).alias("score"))
+
+
+@query
+def simple_documents(spark, sf_dir):
+    fields = _ladder(spark, sf_dir, "full")
+    costs = fields.groupBy("doc_id").agg(F.sum(F.col("cost").cast("decimal(10,4)")).alias("cost"), F.sum(F.lit(0.25)).alias("latency"))
+    out = reports.simple_documents(results.documents(fields, ladder.document_confidence(fields), costs))
+    return out.select("doc_id", F.col("processing_time_sec").cast("double").alias("processing_time_sec"), F.col("cost_estimate_usd").cast("double").alias("cost_estimate_usd"))
+
+
+@query
+def outcomes(spark, sf_dir):
+    known = tables.agreed(spark, sf_dir).filter("s is not null or n is not null").select("doc_id", "field_name", F.coalesce("s", F.col("n").cast("string")).alias("value"), "confidence", "source")
+    return reports.outcomes(reports.detailed_documents(known, tables.invoices(spark, sf_dir).select("doc_id")))
+
+
 # ---- calibration and sampling -------------------------------------------------
 
 
@@ -458,6 +509,19 @@ def isotonic(spark, sf_dir):
     return calibration.apply_isotonic(samples, calibration.fit_isotonic(samples)).groupBy("field_name", "confidence").agg(F.min("calibrated").alias("calibrated"))
 
 
+@query
+def calibration_samples(spark, sf_dir):
+    rows = calibration.samples(tables.predictions(spark, sf_dir), tables.golden(spark, sf_dir))
+    return rows.groupBy("field_name").agg(F.count(F.lit(1)).alias("samples"), F.count_if("correct").alias("right"))
+
+
+@query
+def calibrated_fields(spark, sf_dir):
+    fields = tables.agreed(spark, sf_dir).select("doc_id", "field_name", "confidence")
+    knots = spark.createDataFrame([("horse_power", 0.5, 0.4), ("horse_power", 1.0, 0.9), ("asset_cost", 0.25, 0.0), ("asset_cost", 0.75, 1.0)], "field_name string, x double, y double")
+    return calibration.calibrate_fields(fields, knots).select("doc_id", "field_name", F.round("calibrated_confidence", 9).alias("calibrated_confidence"))
+
+
 @query
 def ece(spark, sf_dir):
     return calibration.calibration_error(tables.scored_labels(spark, sf_dir)).withColumn("ece", F.round("ece", 9))

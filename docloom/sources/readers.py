@@ -161,12 +161,42 @@ def detailed_results(spark: SparkSession, path: str) -> DataFrame:
         "doc_id", "field_name",
         F.when(~mark, F.col("v.value")).alias("s"),
         F.when(F.col("field_name").isin(*NUMERIC_FIELDS), F.col("v.value").try_cast("double")).alias("n"),
-        F.when(mark, F.coalesce(value["present"], F.lower("v.value") == "true")).alias("p"),
+        F.when(mark, F.coalesce(value["present"], present(F.get_json_object("v.value", "$.present")) | present(F.col("v.value")))).alias("p"),
         F.when(mark, F.coalesce(F.col("v.bbox"), value["bbox"])).alias("b"),
         F.col("v.confidence").alias("confidence"), F.col("v.source").alias("source"),
     )
 
 
+def calibrator(spark: SparkSession, path: str) -> DataFrame:
+    """Knots ``field_name, x, y`` that ``writers.calibrator`` saved, or of a calibrator file in JSON.
+
+    A binned entry of the file becomes the centres of its bins, an approximated one its points.
+    """
+    if not path.endswith(".json"):
+        return spark.read.schema("field_name string, x double, y double").parquet(path)
+    entry = "struct<type string, bins array<double>, bin_means array<double>, points array<double>, values array<double>>"
+    rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", f"map<string,{entry}>")).alias("field_name", "e"))
+    centres = F.transform(F.sequence(F.lit(0), F.size("e.bin_means") - 1), lambda i: (F.get("e.bins", i) + F.get("e.bins", i + 1)) / 2)
+    binned = F.col("e.type") == "binned"
+    knots = F.arrays_zip(F.when(binned, centres).otherwise(F.col("e.points")).alias("x"), F.when(binned, F.col("e.bin_means")).otherwise(F.col("e.values")).alias("y"))
+    return rows.select("field_name", F.explode(knots).alias("k")).select("field_name", "k.x", "k.y")
+
+
+def golden_or_none(spark: SparkSession, path: str) -> DataFrame:
+    """The golden values of a file, none if it is missing."""
+    try:
+        return golden_results(spark, path)[1]
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return spark.createDataFrame([], schemas.LONG_VALUE)
+        raise
+
+
+def present(value: Column) -> Column:
+    """Whether a mark is there, from a flag or a word: yes, true or 1 in any case."""
+    return F.coalesce(F.upper(F.trim(value.cast("string"))).isin("YES", "TRUE", "1"), F.lit(False))
+
+
 def mock_invoice(spark: SparkSession, ids: DataFrame) -> DataFrame:
     """Deterministic invoice texts for ids ``doc_id``, drawn from a hash of the id."""
     # What mock invoices name.

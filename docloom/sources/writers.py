@@ -36,6 +36,17 @@ def calibrator(knots: DataFrame, path: str, mode: str = "overwrite") -> None:
     knots.write.mode(mode).parquet(path)
 
 
+def report(text: str, path: str) -> None:
+    """A report's text as one small file on the driver's file system."""
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+
+
+def iso(ts):
+    """A time as ISO 8601 text."""
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
 def run_id():
     """The current time as a run's name."""
     return F.date_format(F.current_timestamp(), "yyyyMMdd_HHmmss")
