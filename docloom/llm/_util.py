@@ -10,19 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_DEFAULT_CHECKPOINT_DIR = "/tmp/docloom-checkpoints"
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a default only where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (found or _DEFAULT_CHECKPOINT_DIR).rstrip("/")
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+from ..sources.staging import delete, shared_folder
 
 
 class Scratch:
@@ -35,7 +23,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.root = f"{checkpoint_dir(spark)}/docloom-{label}-{uuid.uuid4().hex}"
+        self.root = f"{shared_folder(spark)}/docloom-{label}-{uuid.uuid4().hex}"
         self._count = 0
         atexit.register(self._clean)
 
@@ -52,11 +40,11 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path), path
 
     def drop(self, path: str) -> None:
-        _delete(self.spark, path)
+        delete(self.spark, path)
 
     def _clean(self) -> None:
         try:
-            _delete(self.spark, self.root)
+            delete(self.spark, self.root)
         except Exception:  # the session is gone at exit; there is nothing left to tell
             pass
 
