@@ -14,6 +14,7 @@ from docloom.llm._util import Scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity reaches the threshold go; null and empty texts are scored like any other."""
     return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -23,15 +24,17 @@ def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays; documents without words or without an id all stay."""
     return omh.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: absent, once or twice."""
+    """Documents as often as the mix takes them: absent, once or twice; those without words go."""
     return mixing.draw(docs)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every document, a repeated one as often as it occurs, and where they stand."""
     return packing.pack(docs)
 
 
