@@ -53,7 +53,7 @@ class OmhParams:
     extra: int = 24
     short: int = 80
     similarity: float = 0.8
-    block: int = 1024
+    block: int = 512
     seed: int = 17
 
 
@@ -220,12 +220,12 @@ _LINK_ARROW = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("similarity", pa
 
 def _verify(p: OmhParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_id, last = None, None
+        last_text, last = None, None
         for b in batches:
             u, v, s = [], [], []
             for x, y, tx, ty in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strings(b.column(2)), strings(b.column(3)), strict=True):
-                if y != last_id:
-                    last_id, last = y, word_hashes(ty)
+                if ty != last_text:
+                    last_text, last = ty, word_hashes(ty)
                 found = similar(word_hashes(tx), last, p.similarity)
                 if found is not None:
                     u.append(x), v.append(y), s.append(found)
@@ -241,10 +241,10 @@ def _align(pairs: DataFrame, texts: DataFrame, p: OmhParams) -> DataFrame:
     """
     crowd = pairs.groupBy("v").agg(F.ceil(F.count(F.lit(1)) / p.block).cast("int").alias("copies"))
     left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu"))
-    right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv")).join(crowd, "v")
+    right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv")).join(crowd.hint("merge"), "v")
     right = right.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
-    dealt = pairs.join(crowd, "v").withColumn("copy", F.pmod(F.xxhash64("u"), F.col("copies")).cast("int")).drop("copies")
-    joined = dealt.join(left, "u").join(right, ["v", "copy"]).select("u", "v", "tu", "tv")
+    dealt = pairs.join(crowd.hint("merge"), "v").withColumn("copy", F.pmod(F.xxhash64("u"), F.col("copies")).cast("int")).drop("copies")
+    joined = dealt.hint("merge").join(left, "u").join(right.hint("merge"), ["v", "copy"]).select("u", "v", "tu", "tv")
     return joined.mapInArrow(_verify(p), _LINK)
 
 
@@ -260,20 +260,23 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _link_blocks(p: OmhParams):
-    """Links that join the components met in one pair of blocks of a bucket.
+    """Links between the components met in one pair of blocks of a bucket.
 
     Length and histogram bound the distance from below; a pair is aligned in
     the first bucket it shares, and only while its components are still apart.
     """
 
     def run(key, table):
-        t, one = key[0].as_py(), key[3].as_py() == key[4].as_py()
+        one = key[2].as_py() == key[3].as_py()
         table = table.sort_by("doc_id")
         side, ids, n = (np.asarray(table[c]) for c in ("side", "doc_id", "n"))
         n = n.astype(np.int64)
-        root = np.unique(np.asarray(table["component"]), return_inverse=True)[1]
+        component = np.asarray(table["component"])
+        root = np.unique(component, return_inverse=True)[1]
         hist = np.frombuffer(b"".join(table["hist"].to_pylist()), "<u2").reshape(-1, HIST)
-        sk = np.asarray(table["sk"].combine_chunks().flatten()).reshape(len(ids), -1)[:, :t]
+        sk = np.asarray(table["sk"].combine_chunks().flatten()).reshape(len(ids), -1)
+        # the sketches before the one that makes this bucket
+        sk = sk[:, : int((sk[0] == np.int32(key[0].as_py() >> 32)).argmax())]
         words = table["words"]
         left = np.flatnonzero(side == 0)
         right = left if one else np.flatnonzero(side == 1)
@@ -295,7 +298,7 @@ def _link_blocks(p: OmhParams):
                     continue
                 found = similar(mine, np.frombuffer(words[int(b)].as_py(), np.uint32), p.similarity)
                 if found is not None:
-                    u.append(int(max(ids[a], ids[b]))), v.append(int(min(ids[a], ids[b]))), s.append(found)
+                    u.append(int(max(component[a], component[b]))), v.append(int(min(component[a], component[b]))), s.append(found)
                     root[root == root[b]] = root[a]
         return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())], schema=_LINK_ARROW)
 
@@ -315,48 +318,51 @@ def near_duplicates(docs: DataFrame, p: OmhParams = OmhParams(), id_col: str = "
     content = ["n", "h1", "h2"]
     # min_by would carry the arrays of every copy; only the id travels, and sketches of equal texts are equal
     classes = signed.groupBy(*content).agg(F.min("doc_id").alias("rep"))
-    membership = signed.select("doc_id", *content).join(classes, content).groupBy("doc_id", "rep").agg(F.count(F.lit(1)).alias("rows"))
+    membership = signed.select("doc_id", *content).join(classes.hint("merge"), content).groupBy("doc_id", "rep").agg(F.count(F.lit(1)).alias("rows"))
     membership = scratch.table(membership, "membership")
     own = membership.filter("doc_id = rep").select("doc_id").distinct()
     # an id with several texts keeps the signature of each
-    reps = scratch.table(signed.join(own, "doc_id", "left_semi").dropDuplicates(["doc_id", *content]), "representatives")
-    buckets = reps.select("doc_id", "n", F.posexplode("sk").alias("t", "key")).filter("key <> 0")
-    shared = buckets.groupBy("t", "key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("doc_id", "n")).alias("center")).filter("size > 1")
-    members = scratch.table(buckets.join(shared, ["t", "key"]).select("t", "key", "doc_id", "n", "center"), "members")
-    rep_texts = texts.join(own, "doc_id", "left_semi")
+    reps = scratch.table(signed.join(own.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", *content]), "representatives")
+    # a sketch's value holds its number, so it names the bucket alone; joins of the same kind at every size
+    buckets = reps.select("doc_id", "n", F.explode("sk").alias("key")).filter("key <> 0")
+    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("doc_id", "n")).alias("center")).filter("size > 1")
+    members = scratch.table(buckets.join(shared.hint("merge"), "key").select("key", "doc_id", "n", "center"), "members")
+    rep_texts = texts.join(own.hint("merge"), "doc_id", "left_semi")
     if membership.filter("rows > 1").limit(1).count():
         rep_texts = rep_texts.dropDuplicates(["doc_id", "text"])
     # texts of unlike lengths cannot be similar
     alike = F.least("n", "center.n") >= F.lit(p.similarity) * F.greatest("n", "center.n") - 1e-9
     star = members.filter((F.col("doc_id") != F.col("center.doc_id")) & alike).select(F.col("doc_id").alias("u"), F.col("center.doc_id").alias("v")).distinct()
     links = scratch.table(_align(scratch.table(star, "star"), rep_texts, p), "star-links")
-    # one hop is enough here: it only tells which pairs need no look
-    label = links.groupBy(F.col("u").alias("doc_id")).agg(F.min("v").alias("component"))
-    known = members.select("t", "key", "doc_id", "n").join(label, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    # what is connected already needs no second look
+    near = scratch.table(connected_components(links, scratch), "near")
+    known = members.select("key", "doc_id", "n").join(near.withColumnRenamed("id", "doc_id").hint("merge"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     known = scratch.table(known, "known")
-    split = known.groupBy("t", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("rows")).filter("lo <> hi and rows > 2")
+    split = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("rows")).filter("lo <> hi and rows > 2")
     # bands of two grids, twice as wide as the lengths of a similar pair may differ
     width = 2 * math.log(1 / p.similarity) + 1e-6
     at = F.log("n") / F.lit(width)
     bands = F.when(F.col("rows") > p.block, F.array(2 * F.floor(at), 2 * F.floor(at + 0.5) + 1)).otherwise(F.array(F.lit(0).cast("long")))
-    rest = known.join(split.select("t", "key", "rows"), ["t", "key"]).select("t", "key", F.explode(bands).alias("band"), "doc_id", "n", "component")
+    rest = known.join(split.select("key", "rows").hint("merge"), "key").select("key", F.explode(bands).alias("band"), "doc_id", "n", "component")
     rest = scratch.table(rest, "banded")
-    bucket = ["t", "key", "band"]
+    bucket = ["key", "band"]
     crowded = rest.groupBy(*bucket).agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count(F.lit(1)) / p.block).cast("int").alias("blocks"))
-    rest = scratch.table(rest.join(crowded.filter("lo <> hi").select(*bucket, "blocks"), bucket), "rest")
+    rest = scratch.table(rest.join(crowded.filter("lo <> hi").select(*bucket, "blocks").hint("merge"), bucket), "rest")
     open_ = rest.select("doc_id").distinct()
-    words = texts.join(open_, "doc_id", "left_semi").mapInArrow(_word_rows, _WORDS).groupBy("doc_id", "h1", "h2").agg(F.min("words").alias("words"))
+    words = texts.join(open_.hint("merge"), "doc_id", "left_semi").mapInArrow(_word_rows, _WORDS).groupBy("doc_id", "h1", "h2").agg(F.min("words").alias("words"))
     # halves of the sketches are enough to recognise a pair that was looked at before
     brief = F.transform("sk", lambda k: F.when(k == 0, 0).otherwise(F.shiftright(k, 32).cast("int"))).alias("sk")
-    detail = reps.join(open_, "doc_id", "left_semi").join(words, ["doc_id", "h1", "h2"]).select("doc_id", "n", "hist", brief, "words")
+    detail = reps.join(open_.hint("merge"), "doc_id", "left_semi").join(words, ["doc_id", "h1", "h2"]).select("doc_id", "n", "hist", brief, "words")
     rest = rest.join(detail, ["doc_id", "n"]).withColumn("b", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     placed = rest.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select(
         *bucket, F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), (F.col("b") > F.col("o")).cast("int").alias("side"), "doc_id", "component", "n", "hist", "sk", "words"
     )
     more = placed.groupBy(*bucket, "i", "j").applyInArrow(_link_blocks(p), _LINK)
-    links = scratch.table(links.unionByName(more), "links")
-    parts = connected_components(links, scratch).withColumnRenamed("id", "rep")
+    # links between the components found before
+    parts = connected_components(scratch.table(more, "links"), scratch).withColumnRenamed("component", "joined")
+    parts = membership.select("rep").distinct().join(near.withColumnRenamed("id", "rep"), "rep", "left").withColumn("id", F.coalesce("component", "rep")).join(parts, "id", "left")
+    parts = parts.select("rep", F.coalesce("joined", "id").alias("component"))
     # repeated ids may carry different texts: they share the smallest of their classes
     found = membership.drop("rows").join(parts, "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("class_id"))
     ids = texts.select("doc_id")
