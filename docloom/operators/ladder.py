@@ -213,12 +213,12 @@ def document_confidence(fields: DataFrame, how: str = "min", column: str = "conf
 def layout_hint(name: Column) -> Column:
     """Where a field usually stands on an invoice."""
     hints = {
-        "dealer_name": "top of the page, near a logo or letterhead",
-        "model_name": "item description or product details",
-        "horse_power": "near the model name, as HP or BHP",
-        "asset_cost": "totals at the bottom, after Total or Grand Total",
-        "signature": "bottom left or right, maybe with a date",
-        "stamp": "a round or square seal, often blue or red",
+        "dealer_name": "the seller's own name heads the sheet, often in the largest letters",
+        "model_name": "the line of the table that says what was bought",
+        "horse_power": "a small number beside the tractor's model, with its unit",
+        "asset_cost": "the last and largest sum of the table",
+        "signature": "handwriting in the lower third, usually over a ruled line",
+        "stamp": "a coloured ring or frame that may lie over other text",
     }
     found = F.create_map(*(F.lit(x) for kv in hints.items() for x in kv))
     return F.coalesce(F.try_element_at(found, name), F.lit(""))
