@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -123,6 +124,21 @@ def strings(column: pa.Array | pa.ChunkedArray) -> list[str]:
     return ["" if v is None else v for v in column.to_pylist()]
 
 
+#: Rows that a Python worker turns into objects at a time.
+PART = 256
+
+
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = PART) -> Iterator[pa.RecordBatch]:
+    """All rows of the batches, a few at a time, so that a worker holds objects of a few texts only.
+
+    Workers are kept between tasks; what Arrow has pooled for a task goes back at its end.
+    """
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def connected_components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFrame:
     """Smallest reachable id per node: ``(id, component)`` for ids that occur in ``edges(u, v)``.
 

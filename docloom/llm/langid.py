@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import strings
+from ._util import in_parts, strings
 from .toxicity import held_out
 
 UNDETERMINED = "und"
@@ -127,7 +127,7 @@ def train(docs: DataFrame, p: LangParams = LangParams()) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, np.ndarray] = {}
-        for b in batches:
+        for b in in_parts(batches):
             for lang, text in zip(b.column(0).to_pylist(), strings(b.column(1)), strict=True):
                 if _LETTER.search(text):
                     own = counts.setdefault(order[lang], np.zeros(1 << p.bits, np.int64))
@@ -149,7 +149,7 @@ def identify(docs: DataFrame, p: LangParams = LangParams()) -> DataFrame:
     model = train(docs, p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_parts(batches):
             found = [model.infer(t, p) for t in strings(b.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["doc_id", "lang_pred", "score"]

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._util import Scratch, connected_components, mix, strings, word_hashes
+from ._util import Scratch, connected_components, in_parts, mix, strings, word_hashes
 
 #: Cells of the word counts that bound a distance; longer texts than a cell can count are not bounded.
 HIST, COUNTED = 128, 65_535
@@ -132,7 +132,7 @@ _SIGNATURE_ARROW = pa.schema(
 
 def _sign(p: OmhParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_parts(batches):
             cols: list[list] = [[] for _ in _SIGNATURE_ARROW]
             for doc, text in zip(b.column(0).to_pylist(), strings(b.column(1)), strict=True):
                 words = word_hashes(text)
@@ -221,7 +221,7 @@ _LINK_ARROW = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("similarity", pa
 def _verify(p: OmhParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_text, last = None, None
-        for b in batches:
+        for b in in_parts(batches):
             u, v, s = [], [], []
             for x, y, tx, ty in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strings(b.column(2)), strings(b.column(3)), strict=True):
                 if ty != last_text:
@@ -252,7 +252,7 @@ _WORDS = "doc_id long, h1 long, h2 long, words binary"
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in in_parts(batches):
         words = [word_hashes(t) for t in strings(b.column(1))]
         both = [_content(w) for w in words]
         h1, h2 = ([x[k] for x in both] for k in (0, 1))

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import Scratch, mix, strings
+from ._util import Scratch, in_parts, mix, strings
 
 VOCABULARY = 50257
 
@@ -219,7 +219,7 @@ _TOKENS = "doc_id long, n long, tokens binary, terms binary, counts binary"
 
 def _tokenise(p: PackParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_parts(batches):
             docs = [token_ids(t, p) for t in strings(b.column(1))]
             found = [counted(d) for d in docs]
             cols = [[d.tobytes() for d in docs], [t.tobytes() for t, _ in found], [c.tobytes() for _, c in found]]
@@ -262,7 +262,7 @@ class Router:
 
 def _route(router: Router):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_parts(batches):
             yield pa.RecordBatch.from_arrays([pa.array(router.of(*b.columns), pa.int64()), b.column(0)], names=["term", "n"])
 
     return run
@@ -288,7 +288,7 @@ def _deal(router: Router, first: np.ndarray, parts: np.ndarray):
     """The rows with their shard; ``first`` and ``parts`` are by term, shifted by one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_parts(batches):
             at = np.array(router.of(b.column("n"), b.column("terms"), b.column("counts")), np.int64) + 1
             dealt = mix(np.asarray(b.column("row")).astype(np.uint64)) % np.maximum(parts[at], 1).astype(np.uint64)
             kept = ["row", "doc_id", "tokens", "terms", "counts"]

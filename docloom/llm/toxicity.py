@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import mix, prefix_hashes, strings, word_hashes
+from ._util import in_parts, mix, prefix_hashes, strings, word_hashes
 
 # Insults of general English, German, French and Spanish.
 INSULTS = (
@@ -247,7 +247,7 @@ _TERMS = "term long, a0 long, b0 long, a1 long, b1 long"
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents per term, toxic (a) and other (b), by fold, of one partition of the bounded sample."""
     seen: list[list[np.ndarray]] = [[], [], [], []]
-    for batch in batches:
+    for batch in in_parts(batches):
         for fold, toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strings(batch.column(2)), strict=True):
             seen[2 * fold + (not toxic)].append(np.unique(np.concatenate(terms(text))))
     each = [np.concatenate(own) if own else np.empty(0, np.uint64) for own in seen]
@@ -298,7 +298,7 @@ def train(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams
     by_fold = [Features(of_fold[0]), Features(of_fold[1])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_parts(batches):
             x = [by_fold[fold].of(t).astype(np.float64).tolist() for fold, t in zip(b.column(0).to_pylist(), strings(b.column(3)), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(x, pa.list_(pa.float64()))], names=["part", "toxic", "x"])
 
@@ -315,10 +315,9 @@ def score(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams
     features = Features(learned)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                s = model.score(np.stack([features.of(t) for t in strings(b.column(1))]))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=["doc_id", "score"])
+        for b in in_parts(batches):
+            s = model.score(np.stack([features.of(t) for t in strings(b.column(1))]))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= p.threshold).cast("int").alias("predicted"))

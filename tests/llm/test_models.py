@@ -7,10 +7,11 @@ import zlib
 from array import array
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from docloom.llm import langid, licenses, mixing, multi_index, omh, packing, toxicity, vafile, warc
-from docloom.llm._util import prefix_hashes, word_hashes
+from docloom.llm._util import PART, prefix_hashes, word_hashes
 
 
 def _distance(a, b):
@@ -288,3 +289,17 @@ def test_warc_records():
     with pytest.raises(ValueError):
         list(warc.records(io.BytesIO(warc.record_bytes(rows[3])[:-900]), only, True))
     assert zlib.decompress(members[0], 31).startswith(b"WARC/1.1\r\n")
+
+
+def test_workers_take_a_large_batch_in_parts():
+    texts = [None if i % 97 == 0 else f"text {i} " * (i % 7) for i in range(3 * PART + 5)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    empty = batch.slice(0, 0)
+    p = packing.PackParams()
+    for run, kept in ((packing._tokenise(p), texts), (omh._sign(omh.OmhParams()), [t for t in texts if t]), (omh._word_rows, texts)):
+        out = list(run(iter([empty, batch, empty, batch])))
+        assert max(b.num_rows for b in out) <= PART
+        ids = [i for b in out for i in b.column(0).to_pylist()]
+        assert ids == [i for i, t in enumerate(texts) if kept is texts or t] * 2
+    tokens = [t for b in packing._tokenise(p)(iter([batch])) for t in b.column(2).to_pylist()]
+    assert tokens == [packing.token_ids(t or "", p).tobytes() for t in texts]
