@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import VerifyConfig
 from ..functions import vision
-from ..functions.geometry import clamp, touches
+from ..functions.geometry import clamp, iou, touches
 
 
 def words_in_boxes(detections: DataFrame, lines: DataFrame) -> DataFrame:
@@ -69,20 +69,20 @@ def suppress(detections: DataFrame, confidence: float = 0.5, overlap: float = 0.
     """Detections that are sure enough and that no surer one of their document and class overlaps.
 
     Greedy in order of confidence, then of ``det_no``; those of one image meet in
-    one group, which a detector bounds.
+    one array, which a detector bounds.
     """
-    schema = detections.schema
-
-    def keep(own: pd.DataFrame) -> pd.DataFrame:
-        own = own.sort_values(["confidence", "det_no"], ascending=[False, True], kind="stable")
-        kept: list[int] = []
-        boxes = [list(map(float, b)) for b in own["bbox"]]
-        for i, box in enumerate(boxes):
-            if all(_overlap(box, boxes[j]) <= overlap for j in kept):
-                kept.append(i)
-        return own.iloc[kept]
-
-    return detections.filter((F.col("confidence") >= confidence) & F.col("bbox").isNotNull()).groupBy("doc_id", "class_name").applyInPandas(keep, schema)
+    least = (-F.col("confidence")).alias("c"), F.col("det_no").isNull().alias("n"), F.col("det_no").alias("d")
+    rows = F.struct(F.struct(*least).alias("key"), F.col("bbox").cast("array<double>").alias("box"), F.struct(*detections.columns).alias("row"))
+    surest = F.array_sort("_own", lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+
+    def keep(kept: Column, x: Column) -> Column:
+        free = F.forall(kept, lambda k: iou(k["box"], x["box"]) <= overlap)
+        return F.when(free, F.concat(kept, F.array(x))).otherwise(kept)
+
+    sure = detections.filter((F.col("confidence") >= confidence) & F.col("bbox").isNotNull())
+    own = sure.groupBy("doc_id", "class_name").agg(F.collect_list(rows).alias("_own"))
+    kept = F.aggregate(surest, F.filter("_own", lambda x: F.lit(False)), keep)
+    return own.select(F.explode(kept).alias("_kept")).select("_kept.row.*")
 
 
 def _overlap(p: list[float], q: list[float]) -> float:

@@ -103,6 +103,29 @@ def test_suppression_keeps_the_surest(spark):
     assert got == want
 
 
+def test_suppression_is_one_plan_without_python_groups(spark):
+    box = [0, 0, 10, 10]
+    rows = [
+        (1, "stamp", 0, box, 0.9, {"a": 1}),
+        (1, "stamp", 1, box, 0.9, None),  # the earlier of equal ones stays
+        (1, "stamp", 2, [20, 0, 10, 10], 0.6, None),
+        (1, "signature", 3, box, 0.5, None),
+        (1, "signature", None, box, 0.5, None),  # without a number last
+        (2, "stamp", 4, [0, None, 10, 10], 0.8, None),  # a damaged box overlaps nothing
+        (2, "stamp", 5, box, 0.7, None),
+        (2, "stamp", 6, box, 0.4, None),
+        (2, "stamp", 7, None, 0.9, None),
+        (None, "stamp", 8, box, None, None),
+        (None, "stamp", 9, box, 0.7, None),
+        (3, "stamp", 10, box, float("nan"), None),  # no number is no surer than any
+        (3, "stamp", 11, box, 0.6, None),
+    ]
+    found = spark.createDataFrame(rows, "doc_id long, class_name string, det_no int, bbox array<int>, confidence double, more map<string,int>")
+    out = detection.suppress(found)
+    assert "Pandas" not in out._jdf.queryExecution().toString() and out.schema.names == found.schema.names
+    assert sorted(r["det_no"] for r in out.collect()) == [0, 2, 3, 4, 5, 9, 11]
+
+
 def test_decoders():
     img = np.random.default_rng(1).integers(0, 256, (5, 7, 3)).astype(np.uint8)
     assert (vision.decode(vision.encode_png(img)) == img).all()
