@@ -11,7 +11,8 @@ the target.
 N-grams are counted as they are, not hashed, in a distributed table with a row
 per distinct n-gram of the corpus, which grows with the corpus.  An n-gram of the
 highest order fixes those of the lower orders, so both losses of a token are
-columns of that table, found by equi-joins with the tables of the lower orders.
+columns of that table, found by equi-joins with the tables of the lower orders,
+which are summed from that table, not from the chunks.
 Documents are dealt by id into chunks of about ``chunk`` characters.  A chunk's
 distinct n-grams are what it adds to the counts and what it asks of the table of
 losses; a task holds one chunk with its labels, or with the losses it asked for.
@@ -107,23 +108,33 @@ def _mean_losses(p: LmParams):
     return run
 
 
-def _chunked(docs: DataFrame, p: LmParams) -> tuple[DataFrame, Column]:
+def _chunks(docs: DataFrame, p: LmParams) -> int:
+    """How many chunks the documents are dealt to."""
+    size = docs.agg(F.sum(F.coalesce(F.length(F.col("text").cast("string")), F.lit(0)) + 1)).first()[0] or 0
+    return max(1, -(-size // p.chunk))
+
+
+def _chunked(docs: DataFrame, chunks: int) -> tuple[DataFrame, Column]:
     """The documents with the chunk they are dealt to, and the chunk of an id."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    size = rows.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + 1)).first()[0] or 0
-    deal = lambda c: F.pmod(c, F.lit(max(1, -(-size // p.chunk)))).cast("long")
+    deal = lambda c: F.pmod(c, F.lit(chunks)).cast("long")
     chunk = deal(F.xxhash64("doc_id"))
     # rows without an id have no label to meet
     return rows.withColumn("chunk", F.when(F.col("doc_id").isNull(), deal(F.xxhash64("text"))).otherwise(chunk)), chunk
 
 
-def grams(docs: DataFrame, labels: DataFrame, p: LmParams = LmParams()) -> DataFrame:
+def grams(docs: DataFrame, labels: DataFrame, p: LmParams = LmParams(), chunks: int | None = None) -> DataFrame:
     """``chunk, gram, everything, target``: how often each chunk's n-grams of the highest order occur."""
-    rows, chunk = _chunked(docs, p)
+    rows, chunk = _chunked(docs, _chunks(docs, p) if chunks is None else chunks)
     good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("chunk", chunk)
     return rows.groupBy("chunk").cogroup(good.groupBy("chunk")).applyInArrow(_count(p), _COUNT)
 
 
+def counts(found: DataFrame) -> DataFrame:
+    """``gram, everything, target`` over all chunks, a row per distinct n-gram of the highest order."""
+    return found.groupBy("gram").agg(F.sum("everything").alias("everything"), F.sum("target").alias("target"))
+
+
 def losses(found: DataFrame, p: LmParams = LmParams()) -> DataFrame:
     """``gram, target_loss, background_loss`` in nats, a row per distinct n-gram of the highest order."""
     totals = found.agg(F.sum("everything"), F.sum("target")).first()
@@ -152,8 +163,11 @@ def losses(found: DataFrame, p: LmParams = LmParams()) -> DataFrame:
 def score(docs: DataFrame, labels: DataFrame, p: LmParams = LmParams()) -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, score`` for every document."""
     scratch = Scratch(docs.sparkSession, "lm")
-    found = scratch.table(grams(docs, labels, p), "grams")
-    answers = found.select("chunk", "gram").join(scratch.table(losses(found, p), "losses"), "gram")
-    rows, _ = _chunked(docs, p)
+    chunks = _chunks(docs, p)
+    found = scratch.table(grams(docs, labels, p, chunks), "grams")
+    # every level reads the counts; over the chunks' rows each would sum them anew
+    total = scratch.table(counts(found), "counts")
+    answers = found.select("chunk", "gram").join(scratch.table(losses(total, p), "losses"), "gram")
+    rows, _ = _chunked(docs, chunks)
     scored = rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_mean_losses(p), _SCORED)
     return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))

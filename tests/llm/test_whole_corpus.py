@@ -51,6 +51,28 @@ def test_losses_match_unhashed_counts(spark, chunk):
         assert got[i]["background_loss"] == pytest.approx(_plain_loss(raw[i], raw, p.order, p.smoothing, scale), abs=1e-9)
 
 
+def test_texts_and_chunk_rows_are_read_no_oftener_than_needed(spark, monkeypatch):
+    """Texts are read for their size, the counts and the scores; the n-grams of chunks for the totals and the scores."""
+    reads = {}
+
+    def seen(df, name):
+        reads[name] = spark.sparkContext.accumulator(0)
+        add = reads[name].add
+        return spark.createDataFrame(df.rdd.map(lambda r: (add(1), r)[1]), df.schema)
+
+    class Counted(lm_score.Scratch):
+        def table(self, df, name="t"):
+            return seen(super().table(df, name), name)
+
+    monkeypatch.setattr(lm_score, "Scratch", Counted)
+    docs = seen(spark.createDataFrame([(i, f"text {i % 7} of {i}") for i in range(40)], TEXTS), "docs")
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 40, 4)], "doc_id long, quality int")
+    p = lm_score.LmParams(chunk=150)
+    assert lm_score.score(docs, labels, p).collect() and reads["docs"].value == 3 * 40
+    rows = lm_score.grams(docs, labels, p)
+    assert reads["grams"].value == 2 * rows.count() > 2 * rows.select("gram").distinct().count()
+
+
 def _family(text, p):
     """The class of a paragraph by the unfiltered classifier."""
     m = licenses.train(p)
