@@ -5,9 +5,11 @@ from __future__ import annotations
 import atexit
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,21 @@ class Scratch:
     def drop(self, path: str) -> None:
         delete(self.spark, path)
 
+    @contextmanager
+    def held(self, df: DataFrame) -> Iterator[DataFrame]:
+        """``df`` as blocks on the executors' disks until the end of the ``with``; lost ones are computed again.
+
+        For wide tables that are read again soon, where a file (and on local file
+        systems a process or more) per task is not worth it.  Lineage is not cut:
+        nothing lazy may outlive the ``with`` but through a table.
+        """
+        df = df.persist(StorageLevel.DISK_ONLY)
+        try:
+            df.count()  # two scans in one query would otherwise both compute it
+            yield df
+        finally:
+            df.unpersist()
+
     def _clean(self) -> None:
         try:
             delete(self.spark, self.root)

@@ -305,39 +305,20 @@ def _link_blocks(p: OmhParams):
     return run
 
 
-def near_duplicates(docs: DataFrame, p: OmhParams = OmhParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, class_id, kept``.
-
-    ``class_id`` is the smallest id of its group, ``kept`` tells whether the
-    document stands for its class.
-    """
-    spark: SparkSession = docs.sparkSession
-    scratch = Scratch(spark, "omh")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = scratch.table(texts.filter("doc_id is not null").mapInArrow(_sign(p), _SIGNATURE), "signatures")
-    content = ["n", "h1", "h2"]
-    # min_by would carry the arrays of every copy; only the id travels, and sketches of equal texts are equal
-    classes = signed.groupBy(*content).agg(F.min("doc_id").alias("rep"))
-    membership = signed.select("doc_id", *content).join(classes.hint("merge"), content).groupBy("doc_id", "rep").agg(F.count(F.lit(1)).alias("rows"))
-    membership = scratch.table(membership, "membership")
-    own = membership.filter("doc_id = rep").select("doc_id").distinct()
-    # an id with several texts keeps the signature of each
-    reps = scratch.table(signed.join(own.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", *content]), "representatives")
+def _matched(reps: DataFrame, texts: DataFrame, rep_texts: DataFrame, p: OmhParams, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Components ``(id, component)`` of the representatives by their buckets' smallest members, and components of those."""
     # a sketch's value holds its number, so it names the bucket alone; joins of the same kind at every size
     buckets = reps.select("doc_id", "n", F.explode("sk").alias("key")).filter("key <> 0")
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("doc_id", "n")).alias("center")).filter("size > 1")
-    members = scratch.table(buckets.join(shared.hint("merge"), "key").select("key", "doc_id", "n", "center"), "members")
-    rep_texts = texts.join(own.hint("merge"), "doc_id", "left_semi")
-    if membership.filter("rows > 1").limit(1).count():
-        rep_texts = rep_texts.dropDuplicates(["doc_id", "text"])
+    members = buckets.join(shared.hint("merge"), "key").select("key", "doc_id", "n", "center")
     # texts of unlike lengths cannot be similar
     alike = F.least("n", "center.n") >= F.lit(p.similarity) * F.greatest("n", "center.n") - 1e-9
-    star = members.filter((F.col("doc_id") != F.col("center.doc_id")) & alike).select(F.col("doc_id").alias("u"), F.col("center.doc_id").alias("v")).distinct()
-    links = scratch.table(_align(scratch.table(star, "star"), rep_texts, p), "star-links")
-    # what is connected already needs no second look
-    near = scratch.table(connected_components(links, scratch), "near")
-    known = members.select("key", "doc_id", "n").join(near.withColumnRenamed("id", "doc_id").hint("merge"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    known = scratch.table(known, "known")
+    with scratch.held(members) as members:
+        star = members.filter((F.col("doc_id") != F.col("center.doc_id")) & alike).select(F.col("doc_id").alias("u"), F.col("center.doc_id").alias("v")).distinct()
+        # what is connected already needs no second look
+        near = scratch.table(connected_components(_align(scratch.table(star, "star"), rep_texts, p), scratch), "near")
+        known = members.select("key", "doc_id", "n").join(near.withColumnRenamed("id", "doc_id").hint("merge"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        known = scratch.table(known, "known")
     split = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("rows")).filter("lo <> hi and rows > 2")
     # bands of two grids, twice as wide as the lengths of a similar pair may differ
     width = 2 * math.log(1 / p.similarity) + 1e-6
@@ -360,7 +341,33 @@ def near_duplicates(docs: DataFrame, p: OmhParams = OmhParams(), id_col: str = "
     )
     more = placed.groupBy(*bucket, "i", "j").applyInArrow(_link_blocks(p), _LINK)
     # links between the components found before
-    parts = connected_components(scratch.table(more, "links"), scratch).withColumnRenamed("component", "joined")
+    return near, connected_components(more, scratch)
+
+
+def near_duplicates(docs: DataFrame, p: OmhParams = OmhParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id, class_id, kept``.
+
+    ``class_id`` is the smallest id of its group, ``kept`` tells whether the
+    document stands for its class.
+    """
+    spark: SparkSession = docs.sparkSession
+    scratch = Scratch(spark, "omh")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    signed = scratch.table(texts.filter("doc_id is not null").mapInArrow(_sign(p), _SIGNATURE), "signatures")
+    content = ["n", "h1", "h2"]
+    # min_by would carry the arrays of every copy; only the id travels, and sketches of equal texts are equal
+    classes = signed.groupBy(*content).agg(F.min("doc_id").alias("rep"))
+    membership = signed.select("doc_id", *content).join(classes.hint("merge"), content).groupBy("doc_id", "rep").agg(F.count(F.lit(1)).alias("rows"))
+    membership = scratch.table(membership, "membership")
+    own = membership.filter("doc_id = rep").select("doc_id").distinct()
+    # an id with several texts keeps the signature of each
+    reps = signed.join(own.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", *content])
+    rep_texts = texts.join(own.hint("merge"), "doc_id", "left_semi")
+    if membership.filter("rows > 1").limit(1).count():
+        rep_texts = rep_texts.dropDuplicates(["doc_id", "text"])
+    with scratch.held(reps) as reps:
+        near, parts = _matched(reps, texts, rep_texts, p, scratch)
+    parts = parts.withColumnRenamed("component", "joined")
     parts = membership.select("rep").distinct().join(near.withColumnRenamed("id", "rep"), "rep", "left").withColumn("id", F.coalesce("component", "rep")).join(parts, "id", "left")
     parts = parts.select("rep", F.coalesce("joined", "id").alias("component"))
     # repeated ids may carry different texts: they share the smallest of their classes

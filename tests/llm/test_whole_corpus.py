@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.llm import licenses, lm_score
+from docloom.llm import licenses, lm_score, omh
+from docloom.llm._util import Scratch
 
 TEXTS = "doc_id long, text string"
 
@@ -73,6 +74,24 @@ def test_texts_and_chunk_rows_are_read_no_oftener_than_needed(spark, monkeypatch
     assert reads["grams"].value == 2 * rows.count() > 2 * rows.select("gram").distinct().count()
 
 
+def test_near_duplicates_write_each_wide_table_once(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 4000, 60)) for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate(texts[:20])] + [(200 + i, t + " end") for i, t in enumerate(texts[10:30])]
+    written = []
+    named = Scratch.named
+    monkeypatch.setattr(Scratch, "named", lambda self, df, name="t": written.append((name, df.columns)) or named(self, df, name))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    found = omh.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [name for name, columns in written if "sk" in columns] == ["signatures"]
+    # what is read once is not written first, and buckets' members stay with the executors
+    assert not {"star-links", "links", "members"} & {name for name, _ in written}
+    # nothing is held any more, and the result does not need it
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    classes = {r.doc_id: r.class_id for r in found.collect()}
+    assert classes == {i: i for i in range(40)} | {100 + i: i for i in range(20)} | {200 + i: 10 + i for i in range(20)}
+
+
 def _family(text, p):
     """The class of a paragraph by the unfiltered classifier."""
     m = licenses.train(p)
