@@ -15,9 +15,10 @@ Every paragraph is scored but those that lack the model's ``deciding_words``: th
 weights of all n-grams that they may hold, added up, cannot make one a licence.
 Texts without any of them are dropped by one pattern before they are split.
 
-The main path is DataFrame functions only: split, explode, a join with the
-weight table (its size is fixed by the templates, so it may be broadcast) and
-grouped sums.
+The main path is DataFrame functions only.  A document is split, scored and
+compared with the templates in one pass where it is read; the model's tables are
+constants of the plan (their size is fixed by the templates), and nothing is
+shuffled, joined or written.
 
 Defined cases: null, empty and word-less texts have no paragraph; every
 document gets one row, long texts are read whole, and an empty table gives no
@@ -30,16 +31,18 @@ document; unknown counts where no line in reach reads as a licence, and once.
 
 from __future__ import annotations
 
+import json
 import re
+import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import let
-from ._util import Scratch
 
 OTHER, UNKNOWN = "other", "unknown"
 # Notices by which public licences are commonly stated.
@@ -271,140 +274,172 @@ def _any_of(words: tuple[str, ...]) -> str:
     return "(?<![a-z0-9])(?:" + "|".join(f"{c}(?:" + "|".join(w[1:] for w in words if w[0] == c) + ")" for c in first) + ")(?![a-z0-9])"
 
 
-def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
+def _constant(value: object, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(value)), kind)
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # the id as text, so that rows without one join like any other
-    return rows.withColumns({"row": F.xxhash64("doc_id", "text"), "idkey": F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))})
+def words_of(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
 
 
-def paragraphs(docs: DataFrame, p: LicenseParams, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Paragraphs that hold the deciding words: ``row, idkey, first, last, words``, the lines they are from and their words.
+def _read(text: Column, p: LicenseParams, read: Callable[[Column], Column]) -> Column:
+    """``read`` of the words of each paragraph that holds the deciding words: ``lines``, null where it gives none, and ``around: first, last, read``.
 
-    ``row`` stands for a document's id and text; repeated rows repeat.  A line has ``first = last``.
+    All of it is null for a text without such words.
     """
     first, strong = deciding_words(p)
-    one, two = F.array(*(F.lit(w) for w in strong)), F.array(*(F.lit(w) for w in first))
+    one, two = _constant(strong, "array<string>"), _constant(first, "array<string>")
     hopeful = lambda words: F.arrays_overlap(words, one) | (F.size(F.array_intersect(words, two)) > 1)
     longest = max(len(re.findall(_WORD, t.lower())) for texts in TEMPLATES.values() for t in texts)
     reach = 2 * longest  # every line within a paragraph has a word, so at least half of this are words
-    kind = "array<struct<line:int,before:array<string>,after:array<string>>>"
+    marks = lambda c: F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit("")))
 
-    def of_lines(lines: Column) -> Column:
-        each = F.transform(lines, lambda w, i: F.struct(i.alias("line"), w.alias("before"), F.lit(None).cast("array<string>").alias("after")))
-        return F.filter(each, lambda x: hopeful(x["before"])).cast(kind)
+    def nearest(line: Column, before: Column, after: Column) -> Column:
+        # the nearest words up to a line without words, with the marks between them
+        before = F.regexp_replace(F.concat(F.array_join(before, " "), F.lit(" ")), r"(?s)^.*\n $|^.*\n (?=\n )", "")
+        after = F.regexp_replace(F.concat(F.lit(" "), F.array_join(after, " ")), r"(?s)^ \n.*| \n(?= \n).*", "")
+        before = F.regexp_extract(before, rf"(?<![a-z0-9])(?:[a-z0-9]++ (?:\n )*+){{0,{longest}}}+$", 0)
+        after = F.regexp_extract(after, rf"^(?:(?: \n)*+ [a-z0-9]++){{0,{longest}}}+", 0)
+        return F.struct(line.alias("line"), before.alias("before"), after.alias("after"))
 
     def of_breaks(flat: Column) -> Column:
         def around(at: Column, line: Column) -> Column:
             before = F.slice(flat, F.greatest(F.lit(1), at - reach), F.least(F.lit(reach), at - 1))
             return F.struct(line.alias("line"), before.alias("before"), F.slice(flat, at + 1, F.lit(reach)).alias("after"))
 
+        def spanned(b: Column) -> Column:
+            words = words_of(F.concat(b["before"], b["after"]))
+            return F.struct((b["line"] - marks(b["before"])).alias("first"), (b["line"] + 1 + marks(b["after"])).alias("last"), words.alias("words"))
+
         breaks = F.filter(F.transform(flat, lambda w, i: F.when(w == "\n", i + 1)), lambda i: i.isNotNull())
-        return F.filter(F.transform(breaks, around), lambda b: hopeful(F.concat(b["before"], b["after"]))).cast(kind)
+        found = F.filter(F.transform(breaks, around), lambda b: hopeful(F.concat(b["before"], b["after"])))
+        found = F.transform(found, lambda b: nearest(b["line"], b["before"], b["after"]))
+        found = F.transform(F.filter(found, lambda b: (F.trim(b["before"]) != "") & (F.trim(b["after"]) != "")), spanned)
+        found = F.filter(found, lambda b: hopeful(b["words"]))
+        found = F.transform(found, lambda b: F.struct(b["first"].alias("first"), b["last"].alias("last"), read(b["words"]).alias("read")))
+        return F.filter(found, lambda b: b["read"].isNotNull())
 
-    def of_text(lines: Column) -> Column:
+    def of_lines(lines: Column) -> Column:
         # a mark ends every line; two in a row are a line without words
         flat = F.flatten(F.transform(lines, lambda x: F.concat(x, F.array(F.lit("\n")))))
-        return F.concat(of_lines(lines), F.when(hopeful(F.flatten(lines)) & (F.size(lines) > 1), let(flat, of_breaks)).otherwise(F.array().cast(kind)))
+        flat = F.when(hopeful(F.flatten(lines)) & (F.size(lines) > 1), flat).otherwise(F.array().cast("array<string>"))
+        return F.struct(F.transform(lines, lambda w: F.when(hopeful(w), read(w))).alias("lines"), let(flat, of_breaks).alias("around"))
+
+    return F.when(F.lower(text).rlike(_any_of(first)), let(F.transform(F.split(text, "\\R"), words_of), of_lines))
 
-    rows = _rows(docs, id_col, text_col).filter(F.lower("text").rlike(_any_of(first)))
-    # one pass over a text, from which only the hopeful lines and the words around hopeful breaks leave;
+
+def _paragraph_rows(docs: DataFrame, p: LicenseParams, id_col: str, text_col: str, read: Callable[[Column], Column]) -> DataFrame:
+    def listed(v: Column) -> Column:
+        lines = F.transform(v["lines"], lambda x, i: F.struct(i.alias("first"), i.alias("last"), x.alias("read")))
+        return F.concat(F.filter(lines, lambda x: x["read"].isNotNull()), v["around"])
+
+    found = let(_read(F.col(text_col).cast("string"), p, read), listed)
     # the outer form keeps the optimiser from evaluating the pass twice
-    found = let(F.transform(F.split("text", "\\R"), words_of), of_text)
-    found = rows.select("row", "idkey", F.explode_outer(found).alias("b")).filter("b is not null").select("row", "idkey", "b.*")
-    a_line = F.col("after").isNull()
-    before = F.regexp_replace(F.concat(F.array_join("before", " "), F.lit(" ")), r"(?s)^.*\n $|^.*\n (?=\n )", "")
-    after = F.regexp_replace(F.concat(F.lit(" "), F.array_join("after", " ")), r"(?s)^ \n.*| \n(?= \n).*", "")
-    # the nearest words, with the marks between them
-    near = lambda c, regex: F.regexp_extract(c, regex, 0)
-    before = F.when(a_line, F.array_join("before", " ")).otherwise(near(before, rf"(?<![a-z0-9])(?:[a-z0-9]++ (?:\n )*+){{0,{longest}}}+$"))
-    after = F.when(a_line, "").otherwise(near(after, rf"^(?:(?: \n)*+ [a-z0-9]++){{0,{longest}}}+"))
-    found = found.select("row", "idkey", "line", a_line.alias("a_line"), before.alias("before"), after.alias("after"))
-    found = found.filter("a_line or (trim(before) <> '' and trim(after) <> '')")
-    marks = lambda c: F.length(c) - F.length(F.replace(F.col(c), F.lit("\n"), F.lit("")))
-    words = words_of(F.concat("before", "after"))
-    found = found.select("row", "idkey", (F.col("line") - marks("before")).alias("first"), F.when(F.col("a_line"), F.col("line")).otherwise(F.col("line") + 1 + marks("after")).alias("last"), words.alias("words"))
-    return found.filter((F.col("first") == F.col("last")) | hopeful(F.col("words"))).withColumn("words", F.array_join("words", " "))
-
-
-def _spans(order: int) -> Column:
-    """The distinct n-grams of ``words``."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.inline_outer(found)).filter("first is not null")
+
+
+def paragraphs(docs: DataFrame, p: LicenseParams, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Paragraphs that hold the deciding words: ``doc_id, first, last, words``, the lines they are from and their words.
+
+    Those of repeated rows repeat.  A line has ``first = last``.
+    """
+    return _paragraph_rows(docs, p, id_col, text_col, lambda words: F.array_join(words, " ")).withColumnRenamed("read", "words")
+
+
+def _spans(words: Column, order: int) -> Column:
+    """The distinct n-grams of an array of words."""
     return F.array_distinct(
         F.flatten(
             F.transform(
                 F.sequence(F.lit(1), F.lit(order)),
                 lambda n: F.when(
-                    F.size("words") >= n,
-                    F.transform(F.sequence(F.lit(1), F.size("words") - n + 1), lambda i: F.array_join(F.slice(F.col("words"), i, n), " ")),
+                    F.size(words) >= n,
+                    F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " ")),
                 ).otherwise(F.array().cast("array<string>")),
             )
         )
     )
 
 
-def classify(docs: DataFrame, p: LicenseParams = LicenseParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The paragraphs that are of a family or unknown: ``doc_id, first, last, family, probability, overlap, confirmed``."""
-    spark: SparkSession = docs.sparkSession
+def _weights(model: LicenseModel) -> Callable[[Column], Column]:
+    """The weights of an n-gram of the model.  A map is searched from end to end, so they are dealt to many small ones."""
+    parts: list[dict[str, tuple[float, ...]]] = [{} for _ in range(64)]
+    for g, w in model.weights.items():
+        parts[zlib.crc32(g.encode()) % len(parts)][g] = w
+    table = _constant(parts, "array<map<string,array<double>>>")
+    return lambda g: F.element_at(F.get(table, (F.crc32(g.cast("binary")) % len(parts)).cast("int")), g)
+
+
+def _classify(p: LicenseParams) -> Callable[[Column], Column]:
+    """``family, probability, overlap, confirmed`` of a paragraph's words, null unless it is of a family or unknown."""
     model = train(p)
     families = model.families
-    # the empty n-gram stands in every paragraph, so its count is that of the copies of a repeated row
-    weights = spark.createDataFrame([("", [0.0] * len(families)), *((g, list(v)) for g, v in model.weights.items())], "gram string, w array<double>")
-    of_template = [(f, i, g) for f, texts in TEMPLATES.items() for i, t in enumerate(texts) for g in _grams(t, p.order) if " " in g or len(_grams(t, 1)) < 3]
-    template = spark.createDataFrame(of_template, "family string, template int, gram string")
-    sizes = template.groupBy("family", "template").agg(F.count(F.lit(1)).alias("size"))
-    lines = paragraphs(docs, p, id_col, text_col).withColumnRenamed("words", "line").withColumn("words", F.split("line", " "))
-    key = ["row", "idkey", "first", "last", "line"]
-    # n-grams without a weight go before they become rows
-    known = F.filter(_spans(p.order), lambda g: g.isin(list(model.weights)))
-    grams = lines.select(*key, F.explode(F.concat(F.array(F.lit("")), known)).alias("gram"))
-    # both tables are fixed by the templates above: some hundred rows
-    hits = grams.join(F.broadcast(weights), "gram")
-    copies = F.sum((F.col("gram") == "").cast("int"))
-    sums = hits.groupBy(*key).agg(*((F.sum(F.col("w")[i]) / copies).alias(f"s{i}") for i in range(len(families))))
-    logits = [(F.col(f"s{i}") + F.lit(b)) / F.lit(model.temperature) for i, b in enumerate(model.bias)]
-    sums = sums.withColumn("z", F.array(*logits)).withColumn("top", F.array_max("z"))
-    sums = sums.withColumn("e", F.transform("z", lambda v: F.exp(v - F.col("top")))).withColumn("total", F.aggregate("e", F.lit(0.0), lambda a, v: a + v))
-    names = F.array(*(F.lit(f) for f in families))
-    at = F.array_position("z", F.col("top")).cast("int")
-    sums = sums.select(*key, F.element_at(names, at).alias("family"), (F.lit(1.0) / F.col("total")).alias("probability"), (F.element_at("e", len(families)) / F.col("total")).alias("other"))
-    licence = (F.col("other") <= 1 - p.licence)
-    sums = sums.filter(licence | ((F.col("family") != OTHER) & (F.col("probability") >= p.least)))
-    # the n-grams of the few that are left
-    shared = sums.withColumn("words", F.split("line", " ")).select(*key, "family", "probability", "other", F.explode_outer(_spans(p.order)).alias("gram"))
-    shared = shared.join(F.broadcast(template), ["family", "gram"], "left").join(F.broadcast(sizes), ["family", "template"], "left")
-    held = shared.groupBy(*key, "family", "probability", "other", "template", "size").agg(F.count(F.lit(1)).alias("n"))
-    out = held.groupBy(*key, "family", "probability", "other").agg(F.coalesce(F.max(F.col("n") / F.col("size")), F.lit(0.0)).alias("overlap"))
-    sure = (F.col("family") != OTHER) & (F.col("probability") >= p.least) & (F.col("overlap") >= p.confirm)
-    family = F.when(sure, F.col("family")).when(licence, UNKNOWN).otherwise(OTHER)
-    out = out.select("row", "idkey", F.col("idkey").try_cast("long").alias("doc_id"), "first", "last", family.alias("family"), F.round("probability", 6).alias("probability"), F.round("overlap", 6).alias("overlap"), sure.alias("confirmed"))
-    return out.filter(F.col("family") != OTHER)
+    weights = _weights(model)
+    of_template = {f: [[g for g in _grams(t, p.order) if " " in g or len(_grams(t, 1)) < 3] for t in texts] for f, texts in TEMPLATES.items()}
+    templates = _constant(of_template, "map<string,array<array<string>>>")
+    bias, names = _constant(model.bias, "array<double>"), _constant(families, "array<string>")
+
+    def overlap(grams: Column, family: Column) -> Column:
+        return F.coalesce(F.array_max(F.transform(F.element_at(templates, family), lambda t: F.size(F.array_intersect(grams, t)) / F.size(t))), F.lit(0.0))
+
+    def named(family: Column, probability: Column, licence: Column, share: Column) -> Column:
+        sure = (family != OTHER) & (probability >= p.least) & (share >= p.confirm)
+        found = F.struct(F.when(sure, family).otherwise(UNKNOWN).alias("family"), F.round(probability, 6).alias("probability"), F.round(share, 6).alias("overlap"), sure.alias("confirmed"))
+        return F.when(sure | licence, found)
+
+    def of_odds(grams: Column, z: Column, top: Column, e: Column) -> Column:
+        total = F.aggregate(e, F.lit(0.0), lambda a, v: a + v)
+        licence = F.element_at(e, len(families)) / total <= 1 - p.licence
+        odds = F.struct(F.element_at(names, F.array_position(z, top).cast("int")).alias("family"), (F.lit(1.0) / total).alias("probability"), licence.alias("licence"))
+        # the templates are compared with the few that may be confirmed or unknown
+        some = lambda x: x["licence"] | ((x["family"] != OTHER) & (x["probability"] >= p.least))
+        return let(odds, lambda x: F.when(some(x), let(overlap(grams, x["family"]), lambda share: named(x["family"], x["probability"], x["licence"], share))))
+
+    def of_grams(grams: Column) -> Column:
+        known = F.filter(grams, lambda g: g.isin(list(model.weights)))
+        sums = F.aggregate(known, F.array_repeat(F.lit(0.0), len(families)), lambda a, g: F.zip_with(a, weights(g), lambda x, y: x + y))
+        logits = F.zip_with(sums, bias, lambda s, b: (s + b) / F.lit(model.temperature))
+        return let(logits, lambda z: let(F.array_max(z), lambda top: let(F.transform(z, lambda v: F.exp(v - top)), lambda e: of_odds(grams, z, top, e))))
+
+    return lambda words: let(_spans(words, p.order), of_grams)
+
+
+def classify(docs: DataFrame, p: LicenseParams = LicenseParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The paragraphs that are of a family or unknown: ``doc_id, first, last, family, probability, overlap, confirmed``."""
+    return _paragraph_rows(docs, p, id_col, text_col, _classify(p)).select("doc_id", "first", "last", "read.*")
 
 
 def scan(docs: DataFrame, p: LicenseParams = LicenseParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: ``doc_id, family, probability, families, paragraphs`` (the surest confirmed family first)."""
-    # the few paragraphs that state a licence are asked for three times: they are written once
-    found = Scratch(docs.sparkSession, "licences").table(classify(docs, p, id_col, text_col), "found")
-    lines = found.filter("first = last").select("row", "idkey", F.col("first").alias("at"), F.col("family").alias("line_family"))
-    # the lines that a paragraph around a break reaches
-    near = found.filter("first < last").join(lines, ["row", "idkey"], "left").withColumn("within", F.coalesce(F.col("at").between(F.col("first"), F.col("last")), F.lit(False)))
-    near = near.withColumn("same", F.col("within") & (~F.col("confirmed") | (F.col("line_family") == F.col("family"))))
-    new = near.groupBy(*found.columns).agg(F.max("same").alias("same")).filter("not same")
-    new = new.groupBy("row", "idkey", "family").agg(F.max(F.struct("confirmed", "probability", "overlap", F.negative(F.col("first")).alias("early"))).alias("b"))
-    one = found.filter("first = last").select("row", "idkey", "family", "confirmed", "probability", "overlap", F.negative(F.col("first")).alias("early"))
-    found = one.unionByName(new.select("row", "idkey", "family", "b.*"))
-    best = found.groupBy("row", "idkey").agg(
-        F.max(F.struct("confirmed", "probability", "overlap", "early", "family")).alias("best"),
-        F.sort_array(F.collect_set("family")).alias("families"),
-        F.count(F.lit(1)).alias("paragraphs"),
-    )
-    rows = _rows(docs, id_col, text_col).select("row", "idkey", "doc_id")
-    return rows.join(best, ["row", "idkey"], "left").select(
+
+    def of_text(v: Column) -> Column:
+        def told(b: Column) -> Column:
+            # a line in reach that says the same
+            reached = F.slice(v["lines"], b["first"] + 1, b["last"] - b["first"] + 1)
+            return F.exists(reached, lambda x: x.isNotNull() & (~b["read"]["confirmed"] | (x["family"] == b["read"]["family"])))
+
+        lines = F.transform(v["lines"], lambda x, i: F.struct(i.alias("first"), x.alias("read")))
+        new = F.transform(F.filter(v["around"], lambda b: ~told(b)), lambda b: F.struct(b["first"].alias("first"), b["read"].alias("read")))
+        return let(F.filter(lines, lambda x: x["read"].isNotNull()), lambda one: let(new, lambda more: summed(one, more)))
+
+    def summed(one: Column, more: Column) -> Column:
+        families = lambda x: F.array_distinct(F.transform(x, lambda b: b["read"]["family"]))
+        order = lambda b: F.struct(b["read"]["confirmed"], b["read"]["probability"], b["read"]["overlap"], F.negative(b["first"]), b["read"]["family"].alias("family"))
+        best = F.array_max(F.transform(F.concat(one, more), lambda b: F.struct(order(b).alias("order"), b["read"].alias("read"))))["read"]
+        return F.struct(
+            best["family"].alias("family"),
+            best["probability"].alias("probability"),
+            F.sort_array(families(F.concat(one, more))).alias("families"),
+            (F.size(one) + F.size(families(more))).cast("long").alias("paragraphs"),
+        )
+
+    # a document is read in one pass where it lies: nothing is shuffled, joined or written
+    found = F.array(let(_read(F.col(text_col).cast("string"), p, _classify(p)), lambda v: F.when(v.isNotNull(), of_text(v))))
+    # a generator, so that the optimiser does not evaluate the pass once per column
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.explode_outer(found).alias("found")).select(
         "doc_id",
-        F.col("best.family").alias("family"),
-        F.col("best.probability").alias("probability"),
-        F.coalesce("families", F.array().cast("array<string>")).alias("families"),
-        F.coalesce("paragraphs", F.lit(0).cast("long")).alias("paragraphs"),
+        "found.family",
+        "found.probability",
+        F.coalesce("found.families", F.array().cast("array<string>")).alias("families"),
+        F.coalesce("found.paragraphs", F.lit(0).cast("long")).alias("paragraphs"),
     )

@@ -1,6 +1,8 @@
 """Corpus operators do the whole job: no hashed counts, no unread paragraphs, no pairs out of reach."""
 
 import collections
+import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -170,3 +172,25 @@ def test_licences_in_a_very_long_text(spark):
     lines[2_600] = "Released under the MIT License."
     got = licenses.scan(spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(lines[:2_600]))], TEXTS)).collect()
     assert sorted((r["doc_id"], r["family"]) for r in got) == [(1, "mit"), (2, None)]
+
+
+def test_a_licence_scan_is_one_pass(spark, tmp_path):
+    """Documents are read once, where they lie: no shuffle, join, grouping, Python or file, of which each takes an executor's memory."""
+    spark.createDataFrame([(1, "Released under the MIT License."), (2, None)], TEXTS).write.parquet(str(tmp_path / "documents"))
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(folder.glob("docloom-licenses-*"))
+    got = licenses.scan(spark.read.parquet(str(tmp_path / "documents")))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and not re.search("Exchange|Join|Aggregate|Sort|Window|Python|Arrow|ExistingRDD", plan), plan
+    assert sorted((r["doc_id"], r["family"], r["paragraphs"]) for r in got.collect()) == [(1, "mit", 1), (2, None, 0)]
+    assert set(folder.glob("docloom-licenses-*")) == before
+
+
+def test_licences_of_repeated_ids_and_of_lines_in_reach(spark):
+    """Equal ids keep their own texts, and what a line says already does not count again around its breaks."""
+    mit, gpl = "Released under the MIT License.", "Licensed under the GNU General\nPublic License, version 2."
+    texts = [(1, mit), (1, mit), (1, gpl), (None, mit), (2, f"{mit}\n{mit}\n\n{gpl}\n\n{gpl}"), (3, None), (4, "no words of that kind")]
+    got = collections.Counter((r["doc_id"], r["family"], tuple(r["families"]), r["paragraphs"]) for r in licenses.scan(spark.createDataFrame(texts, TEXTS)).collect())
+    # each half of the wrapped notice is unknown alone; the whole counts once however often it occurs
+    want = [(1, "mit", ("mit",), 1)] * 2 + [(1, "gpl", ("gpl", "unknown"), 3), (None, "mit", ("mit",), 1), (2, "mit", ("gpl", "mit", "unknown"), 7), (3, None, (), 0), (4, None, (), 0)]
+    assert got == collections.Counter(want)
